@@ -43,14 +43,19 @@ class StandIn:
     table: str
     columns: dict[str, str]
     where: str | None = None
-    notes: str = field(default="", compare=False)
+    pre: dict[str, str] = field(default_factory=dict, compare=False)
 
     def select_list(self) -> str:
         return ", ".join(f"{expr} AS {col}" for col, expr in self.columns.items())
 
     def sql(self) -> str:
         w = f" WHERE {self.where}" if self.where else ""
-        return f"SELECT {self.select_list()} FROM {self.table}{w}"
+        src = self.table
+        if self.pre:
+            inner = ", ".join(f"{expr} AS {col}" for col, expr in self.pre.items())
+            src = f"(SELECT *, {inner} FROM {self.table}{w}) AS src"
+            w = ""
+        return f"SELECT {self.select_list()} FROM {src}{w}"
 
     def cte(self) -> str:
         return f"{self.name} AS ({self.sql()})"
@@ -59,6 +64,8 @@ class StandIn:
         base = spark.read.parquet(f"{sf_dir.rstrip('/')}/{self.table}.parquet")
         if self.where:
             base = base.filter(self.where)
+        if self.pre:
+            base = base.selectExpr("*", *[f"{expr} AS {col}" for col, expr in self.pre.items()])
         return base.selectExpr(*[f"{expr} AS {col}" for col, expr in self.columns.items()])
 
 
@@ -91,3 +98,58 @@ DONOR_CALLS = StandIn(
     where="l_orderkey % 3 <> 1",
 )
 SITE_KEYS = list(_SITE)
+
+
+# --- transcripts (from part) -----------------------------------------------
+def mrna_of(key: str) -> str:
+    return f"concat({nuc(key, 'a')}, {nuc(key, 'b')}, {nuc(key, 'c')})"
+
+
+TRANSCRIPTS = StandIn(
+    "transcripts",
+    "part",
+    {
+        "gene": "p_brand",
+        "ensembl_gene": "concat('G', cast(p_size as string))",
+        "ensembl_transcript": "concat('T', cast(p_partkey as string))",
+        "mrna": f"CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE {mrna_of('p_partkey')} END",
+        "refProtein": amino("p_partkey", "p"),
+    },
+)
+
+# --- changes of one sample on transcripts (from lineitem) -------------------
+_VT = pick("l_linenumber % 4", ["SNP", "SNP", "INS", "DEL"])
+CHANGES = StandIn(
+    "changes",
+    "lineitem",
+    pre={
+        "vt": _VT,
+        "ms": "l_suppkey % 60 + 1",
+        "rp": amino("l_partkey", "p"),
+        "mr": mrna_of("l_partkey"),
+    },
+    columns={
+        "annotationTranscript": "concat('T', cast(l_partkey as string))",
+        "POS": "l_orderkey * 8 + l_linenumber",
+        "variantType": "vt",
+        "variantClassification": "CASE WHEN vt = 'SNP' THEN "
+        + pick("l_orderkey % 5", ["MISSENSE", "MISSENSE", "NONSENSE", "MISSENSE", "SILENT"])
+        + " WHEN vt = 'INS' AND l_orderkey % 4 = 0 THEN 'FRAME_SHIFT_INS' WHEN vt = 'INS' THEN 'IN_FRAME_INS'"
+        " WHEN l_orderkey % 4 = 0 THEN 'FRAME_SHIFT_DEL' ELSE 'IN_FRAME_DEL' END",
+        "GT": pick("(l_orderkey + l_linenumber) % 3", ["0/1", "1/1", "1/2"]),
+        "mutstart": "ms",
+        "mutend": "CASE WHEN vt = 'SNP' THEN ms WHEN vt = 'INS' THEN ms + 1 ELSE ms + l_linenumber % 3 END",
+        "mutref": "CASE WHEN vt = 'SNP' THEN substr(mr, ms, 1) WHEN vt = 'DEL' THEN substr(mr, ms, l_linenumber % 3 + 1) ELSE '' END",
+        "mutalt": f"CASE WHEN vt = 'SNP' THEN substr({nuc('l_orderkey', 's')}, 1, 1)"
+        f" WHEN vt = 'INS' THEN substr({nuc('l_orderkey', 'i')}, 1, l_linenumber % 3 + 1) ELSE '' END",
+        "protstart": "CAST(floor((ms + 2) / 3.0) AS INT)",
+        "protend": "CAST(floor((ms + 2) / 3.0) AS INT) + CASE WHEN vt = 'INS' AND l_linenumber % 2 = 0 THEN 1 ELSE 0 END",
+        "protref": "CASE WHEN vt = 'INS' THEN '' ELSE substr(rp, CAST(floor((ms + 2) / 3.0) AS INT), 1) END",
+        "protalt": f"CASE WHEN vt = 'DEL' THEN '' WHEN vt = 'INS' THEN substr({amino('l_orderkey', 'x')}, 1, l_linenumber % 2 + 1)"
+        f" ELSE substr({amino('l_orderkey', 'x')}, 1, 1) END",
+        "proteinChange": "concat('p.', CASE WHEN vt = 'INS' THEN '' ELSE substr(rp, CAST(floor((ms + 2) / 3.0) AS INT), 1) END,"
+        " cast(CAST(floor((ms + 2) / 3.0) AS INT) as string), CASE WHEN l_orderkey % 4 = 0 AND vt <> 'SNP' THEN 'fs' ELSE '' END)",
+        "mrna": "mr",
+        "refProtein": "rp",
+    },
+)
