@@ -13,7 +13,7 @@ from ..operators.sequences import assign_strands, index_shift, mutated_proteins,
 from .registry import register
 from .standins import CHANGES, TRANSCRIPTS, amino, with_ctes
 
-ORDER = ("mutstart", "POS")
+ORDER = ("mutstart", "POS", "variantType", "mutalt", "protalt", "GT")
 GROUP = ("annotationTranscript",)
 
 
@@ -26,7 +26,7 @@ def strands(spark, sf):
 
 
 # ---------------------------------------------------------------- SQL pieces
-_W = "PARTITION BY annotationTranscript ORDER BY mutstart, POS"
+_W = "PARTITION BY annotationTranscript ORDER BY mutstart, POS, variantType, mutalt, protalt, GT"
 STRANDS_SQL = with_ctes(CHANGES) + f""",
 cz AS (SELECT *, CASE WHEN GT IN ('0/1', '1/2') THEN 'het' WHEN GT = '1/1' THEN 'hom' END AS loci FROM changes),
 s0 AS (SELECT *, lag(protstart, 1, -1) OVER w AS pp, lag(mutstart, 1, -1) OVER w AS pm,
@@ -55,7 +55,7 @@ s2 AS (SELECT *,
 s3 AS (SELECT *, CAST(sum(inc) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS INT) AS mut_index,
               coalesce(whichdf IN (2, 3), false) AS on2
        FROM s2),
-strands AS (SELECT *, coalesce(on2 AND lead(evicting, 1, false) OVER (PARTITION BY annotationTranscript, on2 ORDER BY mutstart, POS), false) AS evicted
+strands AS (SELECT *, coalesce(on2 AND lead(evicting, 1, false) OVER (PARTITION BY annotationTranscript, on2 ORDER BY mutstart, POS, variantType, mutalt, protalt, GT), false) AS evicted
             FROM s3)"""
 
 _STEP = ("CASE WHEN variantType = 'INS' THEN length(coalesce(protalt, '')) "
@@ -137,7 +137,7 @@ m1 AS (SELECT *, CASE WHEN variantType = 'INS' THEN mutstart ELSE mutend END AS
               CASE WHEN variantType = 'INS' THEN mutstart ELSE mutstart - 1 END AS cut
        FROM members),
 m2 AS (SELECT *, row_number() OVER v AS rn, lag(new_end, 1, 0) OVER v AS prev_end
-       FROM m1 WINDOW v AS (PARTITION BY annotationTranscript, strand ORDER BY mutstart, POS)),
+       FROM m1 WINDOW v AS (PARTITION BY annotationTranscript, strand ORDER BY mutstart, POS, variantType, mutalt, protalt, GT)),
 m3 AS (SELECT *, {slice0_sql('mrna', 'prev_end', 'cut')} || coalesce(mutalt, '') AS piece FROM m2),
 sp AS (SELECT annotationTranscript, strand, any_value(mrna) AS mrna,
               string_agg(piece, '' ORDER BY rn) AS body, arg_max(new_end, rn) AS last_end
@@ -188,17 +188,6 @@ def q_translate_codons(spark, sf):
 
 
 # -- context windows: both proteins of the sample on the row (C9) -------------
-def _ctx_columns():
-    return {
-        "protmut1": amino("l_partkey", "p1") + " || " + amino("l_partkey", "q1"),
-        "protmut2": amino("l_partkey", "p2") + " || " + amino("l_partkey", "q2"),
-        "hetsite": "(l_orderkey + l_linenumber) % 3 = 2",
-    }
-
-
-_CTX_EXTRA = _ctx_columns()
-
-
 def _va_ins_sql():
     return "(CASE WHEN mutstart % 3 <> 0 THEN CAST(floor(length(mutalt) / 3.0) AS INT) ELSE 0 END)"
 
@@ -231,10 +220,7 @@ def _ref_window_sql(pad: int = 10) -> str:
 
 
 _CTX_SQL = SHIFT_SQL + f""",
-ctx AS (SELECT s.*, {', '.join(f'{e} AS {c}' for c, e in _CTX_EXTRA.items())}
-        FROM shifted s JOIN (SELECT l_orderkey * 8 + l_linenumber AS POS2, l_partkey, l_orderkey, l_linenumber FROM lineitem) li
-        ON s.POS = li.POS2),
-w0 AS (SELECT *, coalesce(whichdf, 0) AS code, coalesce(protstart > length(refProtein), false) AS beyond FROM ctx),
+w0 AS (SELECT *, coalesce(whichdf, 0) AS code, coalesce(protstart > length(refProtein), false) AS beyond FROM shifted),
 w1 AS (SELECT *,
    CASE WHEN beyond THEN '*' ELSE {_strand_window_sql('protmut1', 'base_before_1', 'code IN (1, 3)')} END AS sw1,
    CASE WHEN beyond THEN '*' ELSE {_strand_window_sql('protmut2', 'base_before_2', 'code IN (2, 3)')} END AS sw2,
@@ -253,10 +239,6 @@ def q_context_window(spark, sf):
     proteins of the sample, using the carried index shift of each strand,
     with multi-allelic-site masking; plus the reference window."""
     s = index_shift(strands(spark, sf), GROUP, ORDER)
-    li = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr(
-        "l_orderkey * 8 + l_linenumber AS POS", *[f"{e} AS {c}" for c, e in _CTX_EXTRA.items()]
-    )
-    s = s.join(li, "POS")
     out = context_window(s, het_site="hetsite")
     return out.select(*GROUP, "POS", "seqpad1", "seqpad2", "ref_peptide")
 

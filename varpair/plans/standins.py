@@ -151,5 +151,81 @@ CHANGES = StandIn(
         " cast(CAST(floor((ms + 2) / 3.0) AS INT) as string), CASE WHEN l_orderkey % 4 = 0 AND vt <> 'SNP' THEN 'fs' ELSE '' END)",
         "mrna": "mr",
         "refProtein": "rp",
+        "protmut1": f"concat({amino('l_partkey', 'p1')}, {amino('l_partkey', 'q1')})",
+        "protmut2": f"concat({amino('l_partkey', 'p2')}, {amino('l_partkey', 'q2')})",
+        "hetsite": "(l_orderkey + l_linenumber) % 3 = 2",
+    },
+)
+
+# --- sequences / proteomes / peptides from text tables -----------------------
+DOC_SEQS = StandIn(
+    "doc_seqs",
+    "documents",
+    {"doc_id": "doc_id", "mut": "text", "ref": "translate(text, 'aeiou', 'eioua')"},
+)
+BENCH_ITEMS = StandIn(
+    "bench_items",
+    "benchmark",
+    {"item_id": "item_id", "gene": "concat('src', cast(item_id % 20 as string))", "text": "text"},
+)
+DONOR_PROTEOME = StandIn(
+    "donor_proteome", "documents", {"doc_id": "doc_id", "gene": "source", "seq": "text"}, where="lang = 'en'"
+)
+HOST_PROTEOME = StandIn(
+    "host_proteome", "documents", {"doc_id": "doc_id", "gene": "source", "seq": "text"}, where="lang <> 'en'"
+)
+
+# --- alignment hits (15-column search output) from lineitem ------------------
+HITS = StandIn(
+    "hits",
+    "lineitem",
+    pre={"pl": "8 + l_linenumber % 4"},
+    columns={
+        "protein_id": "concat('G', cast(l_suppkey % 50 as string), '|T', cast(l_suppkey as string))",
+        "peptide_id": "concat('Y', cast(l_partkey % 9 as string), ':T', cast(l_partkey as string), ':',"
+        " cast(l_linenumber as string), '_', cast(l_linenumber + 7 + l_linenumber % 4 as string))",
+        "protein_len": "CAST(300 + l_suppkey % 100 AS INT)",
+        "peptide_len": "CAST(pl AS INT)",
+        "protein_start": "CAST(l_suppkey % 250 + 1 AS INT)",
+        "protein_end": "CAST(l_suppkey % 250 + pl AS INT)",
+        "peptide_start": "CAST(1 AS INT)",
+        "peptide_end": "CAST(pl AS INT)",
+        "protein_seq": f"substr({amino('l_suppkey', 'z')}, 1, pl)",
+        "peptide_seq": f"substr({amino('l_partkey', 'y')}, l_linenumber, pl)",
+        "evalue": "l_discount",
+        "score": "l_quantity",
+        "alignment_length": "CAST(pl - CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE 0 END AS INT)",
+        "p_ident": "CASE WHEN l_orderkey % 5 = 0 THEN 88.9 ELSE 100.0 END",
+        "n_ident": "CAST(pl - CASE WHEN l_orderkey % 5 = 0 THEN 1 ELSE 0 END AS INT)",
+    },
+)
+
+# --- peptide table with host/donor peptides and ids (from lineitem) ----------
+PEPTIDE_ROWS = StandIn(
+    "peptide_rows",
+    "lineitem",
+    pre={"pl": "8 + l_suppkey % 4"},
+    columns={
+        "pep": f"substr({amino('l_partkey', 'h')}, l_linenumber, pl)",
+        "ref_pep": f"substr({amino('l_partkey', 'd')}, l_linenumber, pl)",
+        "transid": "concat('B', cast(l_partkey % 40 as string), ':T', cast(l_partkey as string), ':',"
+        " cast(l_linenumber as string), '_', cast(l_linenumber + pl - 1 as string))",
+        "CHROM": "concat('chr', cast(l_partkey % 24 + 1 as string))",
+    },
+)
+
+# --- binding scores (peptide x allele) from lineitem -------------------------
+ALLELES = ["HLA-A0101", "HLA-A0201", "HLA-B0702", "HLA-B0801", "HLA-C0401", "HLA-C0701"]
+SCORES = StandIn(
+    "scores",
+    "lineitem",
+    pre={"pl": "8 + l_suppkey % 4"},
+    columns={
+        "pep": f"substr({amino('l_partkey', 'h')}, l_linenumber, pl)",
+        "transid": "concat('B', cast(l_partkey % 40 as string), ':T', cast(l_partkey as string), ':',"
+        " cast(l_linenumber as string), '_', cast(l_linenumber + pl - 1 as string))",
+        "len": "CAST(pl AS INT)",
+        "allele": pick("(l_orderkey + l_suppkey) % 6", ALLELES),
+        "rank": "CAST(l_orderkey % 997 AS DOUBLE) / 400.0",
     },
 )
