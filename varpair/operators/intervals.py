@@ -11,20 +11,50 @@ from .joins import DEFAULT_BROADCAST_ROWS, has_at_most
 DEFAULT_BIN = 3600
 
 
-def merge_intervals(df: DataFrame, chrom: str = "chrom", start: str = "start", end: str = "end") -> DataFrame:
+def merge_intervals(
+    df: DataFrame, chrom: str = "chrom", start: str = "start", end: str = "end", partitions: int | None = None
+) -> DataFrame:
     """Merge overlapping and touching half-open intervals per ``chrom``.
 
-    Gaps and islands: within a chromosome ordered by start, a new island
-    begins where the start lies beyond every end seen before; a running sum
-    numbers the islands; one aggregate per island.  One shuffle on ``chrom``.
+    Gaps and islands as a segmented scan, so one chromosome holding a large
+    share of all intervals is still spread over many tasks:
+
+    1. range-partition on ``(chrom, start)`` (sampled bounds) — each task
+       gets a contiguous, bounded slice of the order;
+    2. per task and chromosome, the running max end before each row and the
+       slice's own max end / island count (a tiny per-slice table);
+    3. prefix max / prefix sum over the slices of each chromosome (window on
+       the tiny table) give the max end carried into each slice and the
+       island-number offset;
+    4. a row opens an island when its start lies beyond both the local and
+       the carried max end; ``(chrom, island)`` is then aggregated with
+       partial min/max, so even one giant island collapses map-side.
     """
-    w = Window.partitionBy(chrom).orderBy(start, end)
-    prev_max = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    staged = df.select(chrom, start, end).withColumn(
-        "_new", F.when(prev_max.isNull() | (F.col(start) > prev_max), 1).otherwise(0)
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    base = df.select(F.col(chrom).alias("_ch"), F.col(start).alias("_s"), F.col(end).alias("_e"))
+    ranged = base.repartitionByRange(n, "_ch", "_s").withColumn("_pid", F.spark_partition_id())
+    w = Window.partitionBy("_pid", "_ch").orderBy("_s", "_e")
+    local_prev = F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    staged = ranged.withColumn("_lp", local_prev)
+    # per-slice summary: the slice's max end
+    slices = staged.groupBy("_pid", "_ch").agg(F.max("_e").alias("_smax"), F.min("_s").alias("_smin"))
+    ws = Window.partitionBy("_ch").orderBy("_pid")
+    carry = slices.select(
+        "_pid", "_ch",
+        F.max("_smax").over(ws.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
+    )
+    j = staged.join(F.broadcast(carry), ["_pid", "_ch"])
+    prev = F.greatest(F.col("_lp"), F.col("_carry"))  # greatest skips NULLs
+    j = j.withColumn("_new", F.when(prev.isNull() | (F.col("_s") > prev), 1).otherwise(0))
+    counts = j.groupBy("_pid", "_ch").agg(F.sum("_new").alias("_k"))
+    offs = counts.select(
+        "_pid", "_ch",
+        F.coalesce(F.sum("_k").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
     )
-    staged = staged.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return staged.groupBy(chrom, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
+    j = j.join(F.broadcast(offs), ["_pid", "_ch"])
+    j = j.withColumn("_island", F.col("_off") + F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    out = j.groupBy("_ch", "_island").agg(F.min("_s").alias(start), F.max("_e").alias(end))
+    return out.select(F.col("_ch").alias(chrom), start, end)
 
 
 def interval_list_to_bed(lines: DataFrame, text: str = "value") -> DataFrame:
