@@ -41,7 +41,7 @@ def main() -> None:
     from varpair.session import local_session
 
     load_all()
-    spark = local_session(cpus=cpus, app="varpair-bench", shuffle_partitions=max(8, int(cpus) * 2))
+    spark = local_session(cpus=cpus, app="varpair-bench", shuffle_partitions=max(8, int(cpus) * 4))
     # warm the JVM once (codegen, class loading) on a small query
     QUERIES["distinct_counts"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
