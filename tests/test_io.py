@@ -95,3 +95,41 @@ def test_params():
     p = RunParams("BLOOD", host_sex="Male", donor_sex="f")
     assert (p.host_sex, p.donor_sex, p.female_to_male) == ("M", "F", True)
     assert RunParams("X", host_sex="?").host_sex == "unknown"
+
+
+def test_small_operators(spark, tmp_path):
+    from varpair.operators.annotations import pass_filter
+    from varpair.operators.genesets import gene_set, keep_in_set
+    from varpair.operators.summary import counts_map, observed
+    from varpair.sinks.files import write_summary
+
+    sets = spark.createDataFrame([("AML", "M", "A"), ("AML", "F", "B"), ("AML", "M", "C"), ("CML", "M", "D")],
+                                 "tissue string, sex string, symbol string")
+    assert sorted(r.symbol for r in gene_set(sets, "AML", "M").collect()) == ["A", "C"]
+    assert sorted(r.symbol for r in gene_set(sets, "AML", "unknown").collect()) == ["A", "B", "C"]
+    rows = spark.createDataFrame([("PASS", "0/1", "A"), ("LowQual", "0/1", "B"), ("PASS", "./.", None)],
+                                 "FILTER string, GT string, g string")
+    assert [r.g for r in pass_filter(rows, gt_col="GT").collect()] == ["A"]
+    assert [r.g for r in keep_in_set(rows, sets.select("symbol"), gene="g").collect()] == ["A", "B"]
+    df, obs = observed(rows, "stage", null_cols=["g"])
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"rows": 3, "null_g": 1}
+    m = counts_map(rows, "FILTER").collect()[0][0]
+    assert m == {"PASS": 2, "LowQual": 1}
+    out = os.path.join(tmp_path, "summary")
+    write_summary(counts_map(rows, "FILTER"), out)
+    assert "PASS" in spark.read.option("header", True).csv(out).collect()[0][0]
+
+
+def test_y_branch(spark):
+    from varpair.plans.pair_job import y_branch
+
+    peps = spark.createDataFrame(
+        [("G1", "KLMNOPQR", "p1"), ("G2", "ZZZZZZZZ", "p2"), ("G3", "ABCDEFGH", "p3"), ("G4", "SHORT", "p4")],
+        "gene string, pep string, pep_id string")
+    host = spark.createDataFrame([("G9", "xxKLMNOPQRyy"), ("UTY", "ABCDEFGHxx")], "gene string, seq string")
+    donor = spark.createDataFrame([("D1", "qqZZZZZZZZ")], "gene string, seq string")
+    nine = spark.createDataFrame([("UTY",)], "gene string")
+    scores = spark.createDataFrame([("ABCDEFGH", "HLA-A", 0.1), ("ABCDEFGH", "HLA-B", 0.9)], "pep string, allele string, rank double")
+    out = y_branch(peps, host, donor, nine, scores).collect()
+    assert [(r.pep, r.allele) for r in out] == [("ABCDEFGH", "HLA-A")]

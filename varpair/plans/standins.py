@@ -61,7 +61,7 @@ class StandIn:
         return f"{self.name} AS ({self.sql()})"
 
     def df(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        base = spark.read.parquet(f"{sf_dir.rstrip('/')}/{self.table}.parquet")
+        base = scan(spark, f"{sf_dir.rstrip('/')}/{self.table}.parquet")
         if self.where:
             base = base.filter(self.where)
         if self.pre:
@@ -69,6 +69,22 @@ class StandIn:
         return base.selectExpr(*[f"{expr} AS {col}" for col, expr in self.columns.items()])
 
 
+def scan(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet scan spread over at least the cluster's parallelism.
+
+    The test tables are single files with one row group each, which Spark
+    reads in one task; the per-row stand-in expressions (md5 chains) would
+    then run single-threaded.  Only when the scan has fewer splits than the
+    cluster has cores is it spread round-robin (a cheap, deterministic
+    shuffle); a real multi-file input is left as it is.
+    """
+    df = spark.read.parquet(path)
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
+
+
 def with_ctes(*items: StandIn) -> str:
     return "WITH " + ",\n".join(s.cte() for s in items)
 
