@@ -133,3 +133,10 @@ def test_y_branch(spark):
     scores = spark.createDataFrame([("ABCDEFGH", "HLA-A", 0.1), ("ABCDEFGH", "HLA-B", 0.9)], "pep string, allele string, rank double")
     out = y_branch(peps, host, donor, nine, scores).collect()
     assert [(r.pep, r.allele) for r in out] == [("ABCDEFGH", "HLA-A")]
+
+
+def test_y_rows_filters(spark):
+    from varpair.operators.annotations import called, on_chromosomes
+
+    df = spark.createDataFrame([("chrY", "0/1"), ("Y", "0/0"), ("chr1", "1/1"), ("chrY", None)], "CHROM string, GT string")
+    assert [tuple(r) for r in called(on_chromosomes(df), "GT").collect()] == [("chrY", "0/1")]

@@ -95,3 +95,17 @@ def reference_filters(df: DataFrame) -> DataFrame:
         & not_equal("variantClassification", "IN_FRAME_DEL")
         & F.col("cDnaChange").isNotNull() & F.col("proteinChange").isNotNull()
     )
+
+
+# Names of the Y chromosome.
+Y_CHROMOSOMES = ["chrY", "Y"]
+
+
+def called(df: DataFrame, gt: str) -> DataFrame:
+    """genotype present and not ``0/0``."""
+    return df.filter(F.coalesce(F.col(gt) != "0/0", F.lit(False)))
+
+
+def on_chromosomes(df: DataFrame, chrom: str = "CHROM", names: Sequence[str] = Y_CHROMOSOMES) -> DataFrame:
+    """rows on the given chromosomes (Y by default)."""
+    return df.filter(F.col(chrom).isin(*names))

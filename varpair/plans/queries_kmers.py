@@ -56,14 +56,24 @@ FROM {src} GROUP BY doc_id, pep_length"""
 
 
 def _summary(df):
-    return df.groupBy("doc_id", F.col("pep_length").cast("bigint").alias("pep_length")).agg(
-        F.count(F.lit(1)).alias("n_peps"),
-        F.count_distinct("pep").alias("n_distinct"),
+    """Per (document, length): rows, distinct peptides, min/max peptide, first
+    start.  The distinct count is two plain aggregations (per peptide, then
+    per group), both with map-side partial aggregation, instead of the
+    row-doubling Expand plan of a mixed distinct aggregate."""
+    per_pep = df.groupBy("doc_id", "pep_length", "pep").agg(
+        F.count(F.lit(1)).alias("_c"),
+        F.min("pep_num").alias("_first"),
+        F.max("seq_mut_pos").alias("_smp"),
+        F.max("pep_mut_loc").alias("_pml"),
+    )
+    return per_pep.groupBy("doc_id", F.col("pep_length").cast("bigint").alias("pep_length")).agg(
+        F.sum("_c").alias("n_peps"),
+        F.count(F.lit(1)).alias("n_distinct"),
         F.min("pep").alias("min_pep"),
         F.max("pep").alias("max_pep"),
-        F.min("pep_num").cast("bigint").alias("first_start"),
-        F.max("seq_mut_pos").cast("bigint").alias("seq_mut_pos"),
-        F.max("pep_mut_loc").cast("bigint").alias("pep_mut_loc"),
+        F.min("_first").cast("bigint").alias("first_start"),
+        F.max("_smp").cast("bigint").alias("seq_mut_pos"),
+        F.max("_pml").cast("bigint").alias("pep_mut_loc"),
     )
 
 
