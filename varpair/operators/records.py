@@ -7,18 +7,35 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
+
 
 def mark_duplicates(
-    df: DataFrame, key: Sequence[str], score: str, tie: Sequence[str] = (), drop: bool = False
+    df: DataFrame, key: Sequence[str], score: str, tie: Sequence[str], drop: bool = False,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Among rows sharing ``key`` keep the highest ``score`` (ties by
-    ``tie`` ascending); the others get ``duplicate = true`` (or are dropped).
-
-    Implemented as ``max_by`` per key plus a join back would need two
-    shuffles; a ``row_number`` window needs one.
+    """Among rows sharing ``key`` keep the highest ``score`` (NULL lowest),
+    ties broken by the smallest ``tie``; the others get ``duplicate = true``
+    (or are dropped).  ``tie`` must identify a row within its key.
+
+    Skew-safe: the best score and then the best tie per key are plain
+    aggregates (partial aggregation on the map side, so a key holding a
+    third of all rows is combined across many tasks) and are joined back
+    on the key — broadcast when a bounded count proves the per-key table
+    small, otherwise a shuffle join that AQE splits on skew.  A
+    ``row_number`` window would sort each key's rows in one task.
     """
-    w = Window.partitionBy(*key).orderBy(F.col(score).desc_nulls_last(), *[F.col(t).asc() for t in tie])
-    out = df.withColumn("duplicate", F.row_number().over(w) > 1)
+    low = F.lit(float("-inf")).cast(df.schema[score].dataType)
+    s = F.coalesce(F.col(score), low)
+    keyed = df.withColumn("_s", s)
+    best = keyed.groupBy(*key).agg(F.max("_s").alias("_best"))
+    best = sized_broadcast(best, max_broadcast_rows)
+    cand = keyed.join(best, list(key)).where(F.col("_s") == F.col("_best"))
+    first = cand.groupBy(*key).agg(F.min(F.struct(*tie)).alias("_tie"))
+    first = sized_broadcast(first, max_broadcast_rows)
+    out = keyed.join(best, list(key)).join(first, list(key))
+    is_best = (F.col("_s") == F.col("_best")) & (F.struct(*tie) == F.col("_tie"))
+    out = out.withColumn("duplicate", ~is_best).drop("_s", "_best", "_tie")
     return out.filter(~F.col("duplicate")).drop("duplicate") if drop else out
 
 
