@@ -1 +1 @@
-"""varpair."""
+"""Column expressions used by the operators (no UDFs)."""

@@ -1 +1 @@
-"""varpair."""
+"""File sources and run parameters."""

@@ -1 +1,8 @@
-"""varpair."""
+"""Streaming: nothing to build.
+
+The reference has no streams, watermarks, windows over time or state.  The
+row-wise operators (filters, genotype and HGVS expressions, context windows)
+and the stream-static joins (gene-set semi joins, k-mer anti joins against a
+static proteome) accept a streaming DataFrame unchanged; that is a property
+of the DataFrame API, not a separate component.
+"""
