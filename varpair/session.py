@@ -28,6 +28,10 @@ def local_session(cpus: int | str = "*", app: str = "varpair", shuffle_partition
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", os.environ.get("VARPAIR_ADVISORY_BYTES", "16m"))
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # no broadcast from static (estimated) sizes: explicit, count-checked hints
+        # only, plus AQE broadcasts from measured shuffle sizes
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32m")
         .config("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("VARPAIR_DRIVER_MEMORY", "16g"))
