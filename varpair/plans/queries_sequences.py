@@ -21,8 +21,14 @@ def changes_with_zygosity(spark, sf):
     return CHANGES.df(spark, sf).withColumn("loci", G.zygosity("GT"))
 
 
-def strands(spark, sf):
-    return assign_strands(changes_with_zygosity(spark, sf), GROUP, ORDER)
+# Slice width of the segmented strand assignment: changes sit at cDNA
+# positions 1..60 here, so a width of 16 cuts every transcript into several
+# slices and the cross-slice carries are exercised on every run.
+SLICE_WIDTH = 16
+
+
+def strands(spark, sf, segmented: bool = False):
+    return assign_strands(changes_with_zygosity(spark, sf), GROUP, ORDER, segmented=segmented, bucket_width=SLICE_WIDTH)
 
 
 # ---------------------------------------------------------------- SQL pieces
@@ -107,8 +113,10 @@ FROM strands""",
 )
 def q_strand_assign(spark, sf):
     """W1 + W2: strand code, mutation counter and eviction of every change,
-    decided from the previous change of the same transcript."""
-    s = strands(spark, sf)
+    decided from the previous change of the same transcript — in the
+    segmented (hot-transcript-safe) form: transcripts cut into position
+    slices, carries across slices through per-slice tables."""
+    s = strands(spark, sf, segmented=True)
     return s.select(
         *GROUP, "POS", F.col("whichdf").cast("bigint").alias("whichdf"),
         F.col("mut_index").cast("bigint").alias("mut_index"), "evicted",
