@@ -131,8 +131,9 @@ SELECT annotationTranscript, POS, CAST(base_index_1 AS BIGINT) AS base_index_1,
 FROM shifted""",
 )
 def q_index_shift(spark, sf):
-    """W3 + W4: running protein-index shift per strand, with and without the row itself."""
-    s = index_shift(strands(spark, sf), GROUP, ORDER)
+    """W3 + W4: running protein-index shift per strand, with and without the
+    row itself — segmented over position slices (hot-transcript-safe)."""
+    s = index_shift(strands(spark, sf, segmented=True), GROUP, ORDER, bucket_width=SLICE_WIDTH)
     return s.select(*GROUP, "POS", *[F.col(c).cast("bigint").alias(c) for c in
                                     ("base_index_1", "base_before_1", "base_index_2", "base_before_2")])
 
