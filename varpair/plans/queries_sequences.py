@@ -27,8 +27,16 @@ def changes_with_zygosity(spark, sf):
 SLICE_WIDTH = 16
 
 
+# Columns the strand rules read (the segmented form persists its input, so
+# it is projected to these first).
+RULE_COLUMNS = [*GROUP, *ORDER, "protstart", "variantType", "variantClassification", "proteinChange", "loci"]
+
+
 def strands(spark, sf, segmented: bool = False):
-    return assign_strands(changes_with_zygosity(spark, sf), GROUP, ORDER, segmented=segmented, bucket_width=SLICE_WIDTH)
+    c = changes_with_zygosity(spark, sf)
+    if segmented:
+        c = c.select(*dict.fromkeys(RULE_COLUMNS + ["protref"]))
+    return assign_strands(c, GROUP, ORDER, segmented=segmented, bucket_width=SLICE_WIDTH)
 
 
 # ---------------------------------------------------------------- SQL pieces

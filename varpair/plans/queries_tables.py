@@ -194,8 +194,8 @@ def q_reference_join(spark, sf):
 @register(
     "reference_unmatched",
     with_ctes(CHANGES, TRANSCRIPTS) + """,
-hs AS (SELECT DISTINCT annotationTranscript AS t FROM changes WHERE POS % 29 = 0),
-ds AS (SELECT DISTINCT annotationTranscript AS t FROM changes WHERE POS % 29 = 1)
+hs AS (SELECT DISTINCT annotationTranscript AS t FROM changes WHERE sample = 'S0'),
+ds AS (SELECT DISTINCT annotationTranscript AS t FROM changes WHERE sample = 'S1')
 SELECT ensembl_transcript AS transcript, 'no_variant' AS kind FROM transcripts
 WHERE mrna IS NOT NULL AND ensembl_transcript NOT IN (SELECT t FROM hs)
 UNION ALL
@@ -203,10 +203,11 @@ SELECT t AS transcript, 'host_only' AS kind FROM hs WHERE t NOT IN (SELECT t FRO
 )
 def q_reference_unmatched(spark, sf):
     """J2 + J4: reference transcripts without a change in the host sample
-    (anti join), and transcripts changed in the host only (set difference)."""
-    ch = CHANGES.df(spark, sf).select("annotationTranscript", "POS")
-    host = ch.filter(F.col("POS") % 29 == 0).select(F.col("annotationTranscript").alias("t")).distinct()
-    donor = ch.filter(F.col("POS") % 29 == 1).select(F.col("annotationTranscript").alias("t")).distinct()
+    (S0 of the multi-sample change table; anti join), and transcripts changed
+    in the host but not in the donor (S1; set difference)."""
+    ch = CHANGES.df(spark, sf).select("annotationTranscript", "sample")
+    host = ch.filter(F.col("sample") == "S0").select(F.col("annotationTranscript").alias("t")).distinct()
+    donor = ch.filter(F.col("sample") == "S1").select(F.col("annotationTranscript").alias("t")).distinct()
     ref = TRANSCRIPTS.df(spark, sf).filter(F.col("mrna").isNotNull())
     unmatched = ref.join(host, ref["ensembl_transcript"] == host["t"], "left_anti").select(
         F.col("ensembl_transcript").alias("transcript"), F.lit("no_variant").alias("kind"))

@@ -147,6 +147,8 @@ CHANGES = StandIn(
     columns={
         "annotationTranscript": "concat('T', cast(l_partkey as string))",
         "POS": "l_orderkey * 8 + l_linenumber",
+        # the table holds the changes of 29 samples S0..S28
+        "sample": "concat('S', cast((l_orderkey * 8 + l_linenumber) % 29 as string))",
         "variantType": "vt",
         "variantClassification": "CASE WHEN vt = 'SNP' THEN "
         + pick("l_orderkey % 5", ["MISSENSE", "MISSENSE", "NONSENSE", "MISSENSE", "SILENT"])
