@@ -140,3 +140,38 @@ def test_y_rows_filters(spark):
 
     df = spark.createDataFrame([("chrY", "0/1"), ("Y", "0/0"), ("chr1", "1/1"), ("chrY", None)], "CHROM string, GT string")
     assert [tuple(r) for r in called(on_chromosomes(df), "GT").collect()] == [("chrY", "0/1")]
+
+
+def test_rowwise_on_stream(spark, tmp_path):
+    from varpair.functions import genotype as G
+    from varpair.operators.annotations import annotation_filters
+
+    src = os.path.join(tmp_path, "calls")
+    spark.createDataFrame(
+        [("0/1", "0/0", "MISSENSE", "SNP", "p.A2V"), ("1/1", "1/1", "MISSENSE", "SNP", "p.A3V"),
+         ("0/0", "1/1", None, "DEL", "p.K4del"), ("0/1", "0/0", "SILENT", "SNP", "p.A5A")],
+        "h string, d string, variantClassification string, variantType string, proteinChange string",
+    ).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    stream = spark.readStream.schema(schema).parquet(src)
+    out = annotation_filters(stream).filter(G.is_discordant("h", "d")).select(
+        "proteinChange", G.foreign_allele("h", "d").alias("allele"))
+    q = out.writeStream.format("memory").queryName("rowwise_stream").outputMode("append").start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted(tuple(r) for r in spark.sql("SELECT * FROM rowwise_stream").collect())
+    assert got == [("p.A2V", "1"), ("p.K4del", "0")]
+
+
+def test_scorer_split_by_length(spark, tmp_path):
+    from varpair.operators.scores import scorer_list, with_length
+
+    df = spark.createDataFrame([("ABCDEFGH", "ABCDEFGX", "t1"), ("ABCDEFGHI", "ABCDEFGHX", "t2")],
+                               "pep string, ref_pep string, transid string")
+    out = os.path.join(tmp_path, "scorer")
+    write_tsv(with_length(scorer_list(df, "transid")), out, partition_by=["len"])
+    assert sorted(d for d in os.listdir(out) if d.startswith("len=")) == ["len=8", "len=9"]
+    back = spark.read.option("sep", "\t").option("header", True).csv(out)
+    assert back.count() == 4

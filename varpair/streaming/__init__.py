@@ -1,8 +1,9 @@
 """Streaming: nothing to build.
 
 The reference has no streams, watermarks, windows over time or state.  The
-row-wise operators (filters, genotype and HGVS expressions, context windows)
-and the stream-static joins (gene-set semi joins, k-mer anti joins against a
-static proteome) accept a streaming DataFrame unchanged; that is a property
-of the DataFrame API, not a separate component.
+row-wise operators (genotype, discordance and HGVS expressions, NULL-keeping
+filters, context windows) are plain column expressions, so they apply to a
+streaming DataFrame unchanged (see ``tests/test_io.py::test_rowwise_on_stream``);
+operators that check a side's size with a count (k-mer anti joins, sized
+broadcasts) need a static DataFrame.
 """
