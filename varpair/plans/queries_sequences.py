@@ -27,16 +27,8 @@ def changes_with_zygosity(spark, sf):
 SLICE_WIDTH = 16
 
 
-# Columns the strand rules read (the segmented form persists its input, so
-# it is projected to these first).
-RULE_COLUMNS = [*GROUP, *ORDER, "protstart", "variantType", "variantClassification", "proteinChange", "loci"]
-
-
 def strands(spark, sf, segmented: bool = False):
-    c = changes_with_zygosity(spark, sf)
-    if segmented:
-        c = c.select(*dict.fromkeys(RULE_COLUMNS + ["protref"]))
-    return assign_strands(c, GROUP, ORDER, segmented=segmented, bucket_width=SLICE_WIDTH)
+    return assign_strands(changes_with_zygosity(spark, sf), GROUP, ORDER, segmented=segmented, bucket_width=SLICE_WIDTH)
 
 
 # ---------------------------------------------------------------- SQL pieces
@@ -177,15 +169,16 @@ proteins AS (SELECT t.annotationTranscript,
 
 
 def proteins(spark, sf):
-    s = strands(spark, sf)
-    return mutated_proteins(s, strand_members(s), GROUP, ORDER)
+    s = strands(spark, sf, segmented=True)
+    return mutated_proteins(s, strand_members(s), GROUP, ORDER, bucket_width=SLICE_WIDTH)
 
 
 @register("splice_edits", _SPLICE_SQL + "\nSELECT * FROM proteins")
 def q_splice_edits(spark, sf):
     """W5 + C7 + C8 + C13: splice each strand's edits into the transcript
     mRNA, translate both strands, fall back to the reference when a strand
-    has no change or the reference protein is too short."""
+    has no change or the reference protein is too short (segmented strand
+    assignment and splicing over position slices)."""
     return proteins(spark, sf)
 
 
@@ -253,9 +246,10 @@ FROM w1"""
 @register("context_window", _CTX_SQL)
 def q_context_window(spark, sf):
     """Windows of +-10 residues around each change in both mutated
-    proteins of the sample, using the carried index shift of each strand,
-    with multi-allelic-site masking; plus the reference window."""
-    s = index_shift(strands(spark, sf), GROUP, ORDER)
+    proteins of the sample, using the carried index shift of each strand
+    (segmented strand assignment and shifts), with multi-allelic-site
+    masking; plus the reference window."""
+    s = index_shift(strands(spark, sf, segmented=True), GROUP, ORDER, bucket_width=SLICE_WIDTH)
     out = context_window(s, het_site="hetsite")
     return out.select(*GROUP, "POS", "seqpad1", "seqpad2", "ref_peptide")
 
