@@ -62,10 +62,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame, name: str | None = None, eager: bool = True) -> DataFrame:
-    """Materialise ``df`` as Parquet in the shared checkpoint folder and read it back.
+    """Cut the lineage of ``df`` through the shared checkpoint folder.
 
-    A written table survives executor loss (unlike ``localCheckpoint``) and
-    keeps column statistics for later broadcast decisions.
+    ``eager=True`` (default) writes ``df`` as Parquet under the folder and
+    reads it back: a written table survives executor loss (unlike
+    ``localCheckpoint``) and carries file sizes for later planning.
+    ``eager=False`` uses Spark's reliable ``checkpoint(eager=False)`` into
+    the same folder, materialised by the first action.
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
