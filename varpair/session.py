@@ -1,8 +1,8 @@
 """Session helpers: building a local session for tests/bench and cutting lineage.
 
 On a cluster the session is created by the platform; the library only reads
-``spark.checkpoint.dir`` from it.  A default checkpoint folder is set only when
-the setting is missing (tests, bench), never on top of a cluster setting.
+``spark.checkpoint.dir`` from it.  A default checkpoint folder is set only for a
+``local[...]`` session that names none (tests, bench).
 """
 
 from __future__ import annotations
@@ -44,21 +44,21 @@ def local_session(cpus: int | str = "*", app: str = "varpair", shuffle_partition
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the session.
+    """The shared checkpoint folder named by the session.
 
-    Only when the session names none (local tests) a fresh folder under the
-    system temp dir is registered.  On a cluster the setting always exists and
-    points at shared storage, so nothing machine-local is ever used there.
+    A cluster session names one on shared storage; without it this raises, as
+    executors would write to their own disks.  A session on this machine alone
+    (``local[...]``: tests, bench) gets a fresh temporary folder.
     """
     current = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
-    if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    folder = tempfile.mkdtemp(prefix="varpair-ckpt-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    if not current:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError(f"{CHECKPOINT_KEY} names no shared folder")
+        current = tempfile.mkdtemp(prefix="varpair-ckpt-")
+        spark.conf.set(CHECKPOINT_KEY, current)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(current)
+    return current
 
 
 def cut_lineage(df: DataFrame, name: str | None = None, eager: bool = True) -> DataFrame:
