@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from . import arrays as A
 from .io import in_tasks, saved
 
-#: Rule values, the smallest spread each is given, and whether low values count as odd too.
-RULES = {"symbol_share": 0.02, "dup_line_share": 0.05, "repeat_share": 0.05, "word_length": 0.5}
+#: Rule values and the smallest spread each is given; those whose low values count as odd too.
+RULES = {"symbol_share": 0.015, "dup_line_share": 0.05, "repeat_share": 0.1, "word_length": 0.5}
 TWO_SIDED = ("word_length",)
 GAMMA = 1.02
 TINY = 1e-4
