@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, langid, lines, packing, pieces, quality, toxicity
-from .io import documents
+from . import exact, jaccard, langid, lines, packing, pieces, quality, toxicity
+from .io import documents, real_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -82,6 +82,13 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(2, 4).alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"), F.col("_accepted").alias("accepted"))
 
 
+@query()
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under 3-word shingle similarity 0.9."""
+    found = jaccard.jaccard_groups(documents(spark, sf_dir), k=3, num=90, den=100)
+    return found.select(real_id(), "n_shingles", real_id("component_id"))
+
+
 @query()
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document, the decoded text, and agreement with the sentencepiece library."""
