@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, jaccard, langid, lines, packing, pieces, quality, toxicity
+from . import exact, jaccard, langid, lines, packing, phrases, pieces, quality, toxicity
 from .io import documents, real_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +89,12 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(real_id(), "n_shingles", real_id("component_id"))
 
 
+@query()
+def op7_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every document after recurring 35-word windows are removed."""
+    return phrases.phrase_digests(documents(spark, sf_dir))
+
+
 @query()
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document, the decoded text, and agreement with the sentencepiece library."""
