@@ -19,15 +19,17 @@ from .io import NO_ID, ascii_lower, real_id, saved
 HEAD_CHARS, HOT_COPIES, SALTS, MAX_HOT = 32, 512, 32, 1024
 
 
-def _runs(rows: DataFrame, salted: bool) -> DataFrame:
-    """Sort by content; each row with the largest id and the size of its run of equal texts."""
-    key = ["_head", "_hash", *(["_salt"] if salted else [])]
+def _runs(rows: DataFrame) -> DataFrame:
+    """Sort by content; each row with the largest id, the size and its rank in its run of equal texts."""
+    key = ["_head", "_hash", "_salt"]
     dealt = rows.withColumn("_head", F.substring("_norm", 1, HEAD_CHARS)).repartitionByRange(*key)
     same = Window.partitionBy(*key, "_norm").orderBy(F.col("_id").desc())
     return dealt.select(
         "_id",
         "_hash",
+        "_salt",
         "_norm",
+        F.sha2("_norm", 256).alias("_sha"),
         F.first("_id").over(same).alias("_keep"),
         F.count("*").over(same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_n"),
         F.row_number().over(same).alias("_rank"),
@@ -46,22 +48,19 @@ def exact_duplicates(docs: DataFrame, hot_copies: int = HOT_COPIES, salts: int =
     counts = rows.groupBy("_hash").agg(F.count("*").alias("n")).filter(F.col("n") > hot_copies)
     hot = [r["_hash"] for r in counts.orderBy(F.desc("n"), "_hash").limit(MAX_HOT).collect()]
 
-    cold = _runs(rows.filter(~F.col("_hash").isin(hot)) if hot else rows, salted=False)
-    result = cold.select("_id", "_keep", "_n", (F.col("_rank") == 1).alias("kept"), F.sha2("_norm", 256).alias("text_sha256"))
-    if hot:
-        salt = F.pmod(F.xxhash64("_id"), F.lit(salts))
-        parts = saved(
-            _runs(rows.filter(F.col("_hash").isin(hot)).withColumn("_salt", salt), salted=True).select(
-                "_id", "_hash", "_keep", "_n", "_rank", F.sha2("_norm", 256).alias("text_sha256"), F.when(F.col("_rank") == 1, F.col("_norm")).alias("_text")
-            ),
-            "exact-hot",
-        )
-        heads = parts.filter(F.col("_rank") == 1)
+    salt = F.when(F.col("_hash").isin(hot), F.pmod(F.xxhash64("_id"), F.lit(salts))) if hot else F.lit(None).cast("long")
+    runs = _runs(rows.withColumn("_salt", F.coalesce(salt, F.lit(-1))))
+    runs = runs.withColumn("_text", F.when((F.col("_salt") >= 0) & (F.col("_rank") == 1), F.col("_norm"))).drop("_norm")
+    if not hot:
+        result = runs
+    else:
+        parts = saved(runs, "exact-runs")
         whole = Window.partitionBy("_text")
         # at most MAX_HOT texts with `salts` heads each
-        lead = heads.select("_hash", F.col("_keep").alias("_local"), F.max("_keep").over(whole).alias("_keep"), F.sum("_n").over(whole).alias("_n"))
-        lead = lead.groupBy("_hash", "_local").agg(F.max("_keep").alias("_keep"), F.max("_n").alias("_n"))
-        members = parts.select("_id", "_hash", F.col("_keep").alias("_local"), "_rank", "text_sha256")
-        found = members.join(lead, ["_hash", "_local"])
-        result = result.unionByName(found.select("_id", "_keep", "_n", ((F.col("_rank") == 1) & (F.col("_id") == F.col("_keep"))).alias("kept"), "text_sha256"))
+        lead = parts.filter(F.col("_text").isNotNull()).select("_hash", F.col("_keep").alias("_local"), F.max("_keep").over(whole).alias("_lead"), F.sum("_n").over(whole).alias("_all"))
+        lead = lead.groupBy("_hash", "_local").agg(F.max("_lead").alias("_lead"), F.max("_all").alias("_all"))
+        split = parts.filter(F.col("_salt") >= 0).withColumnRenamed("_keep", "_local").join(lead, ["_hash", "_local"])
+        split = split.select("_id", F.col("_lead").alias("_keep"), F.col("_all").alias("_n"), F.when(F.col("_id") == F.col("_lead"), F.col("_rank")).otherwise(F.lit(0)).alias("_rank"), "_sha")
+        result = parts.filter(F.col("_salt") < 0).select("_id", "_keep", "_n", "_rank", "_sha").unionByName(split)
+    result = result.select("_id", "_keep", "_n", (F.col("_rank") == 1).alias("kept"), F.col("_sha").alias("text_sha256"))
     return result.select(real_id("_id").alias("doc_id"), real_id("_keep").alias("keep_id"), F.col("_n").cast("long").alias("group_size"), "kept", "text_sha256")
