@@ -48,14 +48,34 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-def window_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Mixed hash of ``values[starts:ends]`` for many windows at once."""
-    up, down = _powers(max(12, int(len(values)).bit_length()))
+def prefix_sums(values: np.ndarray) -> np.ndarray:
+    """Sums from which the hash of any window of ``values`` is read."""
+    up, _ = _powers(max(12, int(len(values)).bit_length()))
     sums = np.zeros(len(values) + 1, dtype=np.uint64)
     np.cumsum(values * up[: len(values)], dtype=np.uint64, out=sums[1:])
+    return sums
+
+
+def summed_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Mixed hash of the windows ``starts..ends`` behind ``sums``."""
+    _, down = _powers(max(12, int(len(sums) - 1).bit_length()))
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def rolling(sums: np.ndarray, k: int) -> np.ndarray:
+    """Unmixed hash of every ``k`` consecutive values (good in its high bits)."""
+    n = len(sums) - k
+    if n <= 0:
+        return np.zeros(0, dtype=np.uint64)
+    _, down = _powers(max(12, int(len(sums) - 1).bit_length()))
+    return (sums[k:] - sums[:n]) * down[:n]
+
+
+def window_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Mixed hash of ``values[starts:ends]`` for many windows at once."""
+    return summed_hashes(prefix_sums(values), starts, ends)
+
+
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column (null counts as empty) and the offsets of its rows."""
     col = pc.fill_null(col.cast(pa.large_binary()), b"")

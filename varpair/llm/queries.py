@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, jaccard, langid, lines, packing, phrases, pieces, quality, toxicity
+from . import exact, jaccard, langid, lines, packing, phrases, pieces, quality, suffixes, toxicity
 from .io import documents, real_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,12 @@ def op7_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.phrase_digests(documents(spark, sf_dir))
 
 
+@query()
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left of every document after recurring 400-byte strings are removed."""
+    return suffixes.suffix_digests(documents(spark, sf_dir))
+
+
 @query()
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document, the decoded text, and agreement with the sentencepiece library."""

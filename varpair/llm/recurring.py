@@ -67,21 +67,18 @@ class Shape:
 
     def segments(self, u: Units) -> dict[str, np.ndarray]:
         """row, anchor, digest, first and last (window starts inside the row) of every segment."""
-        n, counts = len(u.values), np.diff(u.bounds)
-        row_of = np.repeat(np.arange(len(counts)), counts)
-        at = np.arange(max(0, n - self.gram + 1))
-        at = at[row_of[at] == row_of[at + self.gram - 1]]
-        grams = A.window_hashes(u.values, at, at + self.gram)
-        bounds = np.concatenate([[0], np.cumsum(np.maximum(counts - self.gram + 1, 0))])
+        sums = A.prefix_sums(u.values)
+        grams = A.rolling(sums, self.gram)
         span = self.width - self.gram + 1
         pick, first, last = A.picks(grams, span, self.share)
-        row = row_of[at[pick]] if len(pick) else np.zeros(0, dtype=np.int64)
-        first, last = np.maximum(first, bounds[row]), np.minimum(last, bounds[row + 1] - span)
+        # windows that cross texts are cut off again
+        row = np.searchsorted(u.bounds, pick, side="right") - 1
+        first, last = np.maximum(first, u.bounds[row]), np.minimum(last, u.bounds[row + 1] - self.width)
         keep = first <= last
-        pick, first, last, row = pick[keep], at[first[keep]], at[last[keep]], row[keep]
-        digest = A.mix(A.window_hashes(u.values, first, last + self.width) ^ A.mix((at[pick] - first).astype(np.uint64)))
+        pick, first, last, row = pick[keep], first[keep], last[keep], row[keep]
+        digest = A.mix(A.summed_hashes(sums, first, last + self.width) ^ A.mix((pick - first).astype(np.uint64)))
         base = u.bounds[row]
-        return {"row": row, "anchor": grams[pick].view(np.int64), "digest": digest.view(np.int64), "first": first - base, "last": last - base}
+        return {"row": row, "anchor": A.mix(grams[pick]).view(np.int64), "digest": digest.view(np.int64), "first": first - base, "last": last - base}
 
 
 def _bit(values: np.ndarray) -> np.ndarray:
