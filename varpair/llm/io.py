@@ -44,15 +44,29 @@ def in_tasks(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
-def keyed(docs: DataFrame, *more: str) -> DataFrame:
-    """doc_id, text_key, text and the named columns only.
+def keyed(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id, text_key, text and, with ``carry``, all other columns as the struct ``row``.
 
     Other columns of the table cannot clash with an operator's own.  A null
     doc_id becomes ``NO_ID``; ``text_key`` (a hash of the text) tells rows apart
     that repeat a doc_id with another text, and rows equal in both are each
     answered with the same result.
     """
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"), *more)
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"), *([F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")] if carry else []))
+
+
+def row_type(rows: DataFrame) -> str:
+    """DDL of the struct ``row``."""
+    return f"row {rows.schema['row'].dataType.simpleString()}"
+
+
+def with_text(found: DataFrame, text: str, columns: list[str]) -> DataFrame:
+    """The carried rows with a new text, in the given columns; n_chars, where there is one, follows the text."""
+    pick = {c: F.col("row").getField(c).alias(c) for c in columns if c != "text"}
+    pick["text"] = F.col(text).alias("text")
+    if "n_chars" in pick:
+        pick["n_chars"] = F.length(text).cast("long").alias("n_chars")
+    return found.select(*[pick[c] for c in columns])
 
 
 def real_id(name: str = "doc_id") -> Column:

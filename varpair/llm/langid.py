@@ -138,17 +138,28 @@ def fit_language_model(docs: DataFrame, usable: Column, per_lang: int = 500, max
     return model
 
 
+def predicted_columns(docs: DataFrame) -> list[str]:
+    """Names of the columns that ``predict_language`` appends."""
+    lead = "_"
+    while any(c.startswith(lead) for c in docs.columns):
+        lead += "_"
+    return [f"{lead}lang", f"{lead}score", f"{lead}accepted"]
+
+
 def predict_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
-    """doc_id, lang_pred, score, accepted and the other columns of ``docs``.
+    """The columns of ``docs`` and, appended, ``_lang``, ``_score`` and ``_accepted``.
+
+    The appended names get more underscores where ``docs`` has such columns.
 
     ``und`` with score 0 where the text is null or has no letter, or where
     nothing could be learned; those and predictions under the model's threshold
     are not ``accepted``.
     """
     names = docs.columns
+    added = predicted_columns(docs)
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(model)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", _lang string, _score double, _accepted boolean"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", {} string, {} double, {} boolean".format(*added)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
@@ -163,7 +174,7 @@ def predict_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
                 lang = [m.langs[j] if ok else UNKNOWN for j, ok in zip(top, lettered)]
                 score = np.where(lettered, p.max(axis=1), 0.0)
                 sure = lettered & (score >= m.reject_below)
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(lang, pa.string()), pa.array(score.astype(float)), pa.array(sure)], names=[*names, "_lang", "_score", "_accepted"])
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(lang, pa.string()), pa.array(score.astype(float)), pa.array(sure)], names=[*names, *added])
 
     return in_tasks(docs, predict, schema)
 

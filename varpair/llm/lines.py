@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .io import ascii_lower, in_tasks, keyed, real_id, saved
+from .io import ascii_lower, in_tasks, keyed, real_id, row_type, saved
 
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -96,20 +96,20 @@ def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out.append((len(lines), len(gone), "\n".join(kept)))
         n, gone, kept = zip(*out) if out else ((), (), ())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_key"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
-            names=["doc_id", "text_key", "n_lines", "n_dropped", "kept_text"],
+            [batch.column("doc_id"), batch.column("text_key"), batch.column("row"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
+            names=["doc_id", "text_key", "row", "n_lines", "n_dropped", "kept_text"],
         )
 
 
 def line_dedup(docs: DataFrame, batches: int = 4, min_chars: int = 10, runs: LineRuns | None = None) -> DataFrame:
-    """Drop repeated lines; one row per document: doc_id, text_key, n_lines, n_dropped, kept_text.
+    """Drop repeated lines; one row per document: doc_id, text_key, row (its other columns), n_lines, n_dropped, kept_text.
 
     A key found in two or more documents loses all its lines but those of the
     smallest doc_id; a null or empty text is one empty line; a null doc_id counts
     as the largest; rows that repeat a doc_id are one document.  The documents
     go through the runs in ``batches`` batches of rising doc_id.
     """
-    rows = keyed(docs)
+    rows = keyed(docs, carry=True)
     spark = docs.sparkSession
     steps = [i / batches for i in range(1, batches)]
     bounds = sorted(set(rows.agg(F.percentile_approx("doc_id", steps)).first()[0] or [])) if steps else []
@@ -123,8 +123,8 @@ def line_dedup(docs: DataFrame, batches: int = 4, min_chars: int = 10, runs: Lin
         own.drop()
     lost = reduce(DataFrame.unionByName, losers)
     gone = keys.join(lost, ["batch", "h1", "h2"]).filter(F.col("doc_id") != F.col("owner")).groupBy("doc_id", "text_key").agg(F.collect_set("position").alias("dropped"))
-    joined = rows.join(gone, ["doc_id", "text_key"], "left").select("doc_id", "text_key", "text", "dropped")
-    return in_tasks(joined, _rebuild, "doc_id long, text_key long, n_lines long, n_dropped long, kept_text string")
+    joined = rows.join(gone, ["doc_id", "text_key"], "left").select("doc_id", "text_key", "row", "text", "dropped")
+    return in_tasks(joined, _rebuild, f"doc_id long, text_key long, {row_type(rows)}, n_lines long, n_dropped long, kept_text string")
 
 
 def line_digests(docs: DataFrame) -> DataFrame:

@@ -141,6 +141,7 @@ def distinct_segments(rows: DataFrame, shape: Shape, name: str) -> DataFrame:
     ``content`` comes from the smallest (doc_id, text_key, first) that holds the segment.
     """
     counted = saved(anchor_counts(rows, shape), f"{name}-anchors")
+    rows = rows.select("doc_id", "text_key", "text")
     found = occurrences(rows, shape, bitmap_of(counted, "anchor"))
     kinds = found.groupBy("anchor", "digest").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_key", "first", "last")).alias("at"))
     kinds = saved(kinds, f"{name}-kinds")
