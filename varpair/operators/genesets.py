@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
 
 # Expression thresholds (TPM) of the patient-specific set.
 LOW_TPM = 2.0
@@ -52,35 +51,31 @@ def expressed_genes(
 
 def flag_gene_sets(
     df: DataFrame, sets: dict[str, DataFrame], gene: str = "hugoSymbol",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """P10: one yes/no column per named set (left join to the distinct set,
     broadcast when a bounded count proves it small)."""
     out = df
     for name, s in sets.items():
         keys = s.select(F.col(s.columns[0]).alias(f"_set_{name}")).where(F.col(f"_set_{name}").isNotNull()).distinct()
-        keys = sized_broadcast(keys, max_broadcast_rows)
         out = out.join(keys, F.col(gene) == F.col(f"_set_{name}"), "left")
         out = out.withColumn(name, F.when(F.col(f"_set_{name}").isNotNull(), F.lit("yes")).otherwise(F.lit("no")))
         out = out.drop(f"_set_{name}")
     return out
 
 
-def keep_in_set(df: DataFrame, s: DataFrame, gene: str = "hugoSymbol",
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def keep_in_set(df: DataFrame, s: DataFrame, gene: str = "hugoSymbol") -> DataFrame:
     """Rows whose gene is in the set (semi join)."""
     keys = s.select(F.col(s.columns[0]).alias("_g")).distinct()
-    return df.join(sized_broadcast(keys, max_broadcast_rows), F.col(gene) == F.col("_g"), "left_semi")
+    return df.join(keys, F.col(gene) == F.col("_g"), "left_semi")
 
 
 def tissue_classes(
     df: DataFrame, classes: DataFrame, gene: str = "hugoSymbol",
     class_gene: str = "gvhd_genes", class_col: str = "gvhd_classfication",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """J8 + J9: keep rows of genes with a tissue class and attach the class."""
     cl = classes.select(F.col(class_gene).alias("_cg"), F.col(class_col).alias(class_col))
-    out = df.join(sized_broadcast(cl, max_broadcast_rows), F.col(gene) == F.col("_cg"), "inner")
+    out = df.join(cl, F.col(gene) == F.col("_cg"), "inner")
     return out.drop("_cg")
 
 
@@ -94,12 +89,6 @@ def class_value_counts(df: DataFrame, class_col: str = "gvhd_classfication") ->
     return df.groupBy(class_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), class_col)
 
 
-def class_counts_map(df: DataFrame, class_col: str = "gvhd_classfication") -> DataFrame:
-    """A4: the value counts as one map-valued row."""
-    vc = df.groupBy(class_col).agg(F.count(F.lit(1)).alias("n"))
-    return vc.agg(F.map_from_entries(F.collect_list(F.struct(F.col(class_col), F.col("n")))).alias("counts"))
-
-
 def class_size_histogram(df: DataFrame, class_col: str = "gvhd_classfication") -> DataFrame:
     """A5: rows per number of comma-separated classes."""
     k = F.size(F.split(F.col(class_col), ",")).alias("n_classes")

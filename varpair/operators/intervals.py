@@ -5,53 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import DEFAULT_BROADCAST_ROWS, has_at_most
+from ..session import cut_lineage
+from .joins import natural_join
 
 # Width of the bins that turn a range join into an equi-join.
 DEFAULT_BIN = 3600
 
 
-def merge_intervals(
-    df: DataFrame, chrom: str = "chrom", start: str = "start", end: str = "end", partitions: int | None = None
-) -> DataFrame:
+def merge_intervals(df: DataFrame, chrom: str = "chrom", start: str = "start", end: str = "end") -> DataFrame:
     """Merge overlapping and touching half-open intervals per ``chrom``.
 
     Gaps and islands as a segmented scan, so one chromosome holding a large
     share of all intervals is still spread over many tasks:
 
-    1. range-partition on ``(chrom, start)`` (sampled bounds) — each task
-       gets a contiguous, bounded slice of the order;
-    2. per task and chromosome, the running max end before each row and the
-       slice's own max end / island count (a tiny per-slice table);
-    3. prefix max / prefix sum over the slices of each chromosome (window on
-       the tiny table) give the max end carried into each slice and the
-       island-number offset;
+    1. range-partition on ``(chrom, start)`` (sampled bounds): each task
+       gets a contiguous slice of the order; the slices are written once to
+       the shared checkpoint folder with their number, so the branches below
+       read the same slices;
+    2. per slice and chromosome, the running max end before each row and the
+       slice's own max end / island count;
+    3. prefix max / prefix sum over the slices of each chromosome give the
+       max end carried into each slice and the island-number offset, joined
+       back on ``(slice, chrom)`` without a hint (one row per chromosome and
+       slice: the join is a broadcast only if measured small);
     4. a row opens an island when its start lies beyond both the local and
        the carried max end; ``(chrom, island)`` is then aggregated with
        partial min/max, so even one giant island collapses map-side.
     """
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
     base = df.select(F.col(chrom).alias("_ch"), F.col(start).alias("_s"), F.col(end).alias("_e"))
-    ranged = base.repartitionByRange(n, "_ch", "_s").withColumn("_pid", F.spark_partition_id())
+    ranged = cut_lineage(base.repartitionByRange("_ch", "_s").withColumn("_pid", F.spark_partition_id()), "intervals")
     w = Window.partitionBy("_pid", "_ch").orderBy("_s", "_e")
-    local_prev = F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    staged = ranged.withColumn("_lp", local_prev)
-    # per-slice summary: the slice's max end
-    slices = staged.groupBy("_pid", "_ch").agg(F.max("_e").alias("_smax"), F.min("_s").alias("_smin"))
-    ws = Window.partitionBy("_ch").orderBy("_pid")
-    carry = slices.select(
-        "_pid", "_ch",
-        F.max("_smax").over(ws.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
-    )
-    j = staged.join(F.broadcast(carry), ["_pid", "_ch"])
+    staged = ranged.withColumn("_lp", F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    ws = Window.partitionBy("_ch").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ranged.groupBy("_pid", "_ch").agg(F.max("_e").alias("_smax"))
+    carry = ends.select("_pid", "_ch", F.max("_smax").over(ws).alias("_carry"))
+    j = natural_join(staged, carry, "inner", on=["_pid", "_ch"])
     prev = F.greatest(F.col("_lp"), F.col("_carry"))  # greatest skips NULLs
     j = j.withColumn("_new", F.when(prev.isNull() | (F.col("_s") > prev), 1).otherwise(0))
     counts = j.groupBy("_pid", "_ch").agg(F.sum("_new").alias("_k"))
-    offs = counts.select(
-        "_pid", "_ch",
-        F.coalesce(F.sum("_k").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-    )
-    j = j.join(F.broadcast(offs), ["_pid", "_ch"])
+    offs = counts.select("_pid", "_ch", F.coalesce(F.sum("_k").over(ws), F.lit(0)).alias("_off"))
+    j = natural_join(j, offs, "inner", on=["_pid", "_ch"])
     j = j.withColumn("_island", F.col("_off") + F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     out = j.groupBy("_ch", "_island").agg(F.min("_s").alias(start), F.max("_e").alias(end))
     return out.select(F.col("_ch").alias(chrom), start, end)
@@ -72,7 +65,6 @@ def interval_list_to_bed(lines: DataFrame, text: str = "value") -> DataFrame:
 def points_in_regions(
     points: DataFrame, regions: DataFrame, chrom: str = "chrom", pos: str = "pos",
     start: str = "start", end: str = "end", bin_size: int = DEFAULT_BIN,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Points with ``start <= pos < end`` for some region of their chrom.
 
@@ -87,8 +79,6 @@ def points_in_regions(
     first_bin = F.floor(F.col("_rs") / bin_size).cast("bigint")
     last_bin = F.floor((F.col("_re") - 1) / bin_size).cast("bigint")
     r = r.withColumn("_rb", F.explode(F.sequence(first_bin, last_bin)))
-    if has_at_most(r, max_broadcast_rows):
-        r = F.broadcast(r)
     p = points.withColumn("_pb", F.floor(F.col(pos) / bin_size).cast("bigint"))
     cond = (
         (F.col(chrom) == F.col("_rc")) & (F.col("_pb") == F.col("_rb"))

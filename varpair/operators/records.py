@@ -4,57 +4,62 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
+from ..session import cut_lineage
+from .joins import natural_join
 
 
-def mark_duplicates(
-    df: DataFrame, key: Sequence[str], score: str, tie: Sequence[str], drop: bool = False,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """Among rows sharing ``key`` keep the highest ``score`` (NULL lowest),
-    ties broken by the smallest ``tie``; the others get ``duplicate = true``
-    (or are dropped).  ``tie`` must identify a row within its key.
+def _descending(df: DataFrame, score: str) -> list[Column]:
+    """Sort columns that put the highest score first in ascending order, NULL last."""
+    kind, c = df.schema[score].dataType, F.col(score)
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return [c.isNull(), -c.cast("decimal(20,0)")]
+    if isinstance(kind, T.DecimalType):
+        return [c.isNull(), -c]
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return [c.isNull(), ~F.isnan(c), -c]
+    raise TypeError(f"{score} is not a number")
 
-    Skew-safe: the best score and then the best tie per key are plain
-    aggregates (partial aggregation on the map side, so a key holding a
-    third of all rows is combined across many tasks) and are joined back
-    on the key — broadcast when a bounded count proves the per-key table
-    small, otherwise a shuffle join that AQE splits on skew.  A
-    ``row_number`` window would sort each key's rows in one task.
+
+def mark_duplicates(df: DataFrame, key: Sequence[str], score: str, tie: Sequence[str], drop: bool = False) -> DataFrame:
+    """Among rows sharing ``key`` (NULL keys match each other) keep the
+    highest ``score`` (NULL lowest), ties broken by the smallest ``tie``; the
+    others get ``duplicate = true`` (or are dropped).  ``tie`` must identify a
+    row within its key.
+
+    One aggregate finds the best (score, tie) of a key, with partial
+    aggregation on the map side, so a key holding a third of all rows is
+    combined across many tasks; one null-safe join on the key marks the rows.
     """
-    low = F.lit(float("-inf")).cast(df.schema[score].dataType)
-    s = F.coalesce(F.col(score), low)
-    keyed = df.withColumn("_s", s)
-    best = keyed.groupBy(*key).agg(F.max("_s").alias("_best"))
-    best = sized_broadcast(best, max_broadcast_rows)
-    cand = keyed.join(best, list(key)).where(F.col("_s") == F.col("_best"))
-    first = cand.groupBy(*key).agg(F.min(F.struct(*tie)).alias("_tie"))
-    first = sized_broadcast(first, max_broadcast_rows)
-    out = keyed.join(best, list(key)).join(first, list(key))
-    is_best = (F.col("_s") == F.col("_best")) & (F.struct(*tie) == F.col("_tie"))
-    out = out.withColumn("duplicate", ~is_best).drop("_s", "_best", "_tie")
+    ranked = df.withColumn("_rank", F.struct(*[c.alias(f"s{i}") for i, c in enumerate(_descending(df, score))], *tie))
+    best = ranked.groupBy(*key).agg(F.min("_rank").alias("_best"))
+    out = natural_join(ranked, best, "inner", on=key)
+    out = out.select(*df.columns, (~F.col("_rank").eqNullSafe(F.col("_best"))).alias("duplicate"))
     return out.filter(~F.col("duplicate")).drop("duplicate") if drop else out
 
 
-def ordered_records(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """A total order by ``order``: range-partitioned on the sort keys
-    (sampled boundaries, so a hot key does not pin one task with the whole
-    table) and sorted within partitions; the global position is a column
-    (partition offset from per-partition counts + local rank)."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    with_pid = ranged.withColumn("_pid", F.spark_partition_id())
-    counts = with_pid.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offs = counts.withColumn(
-        "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).select("_pid", "_off")
+def ordered_records(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """A total order by ``order`` with the global position as a column.
+
+    The rows are range-partitioned on the sort keys (sampled bounds, so a hot
+    leading key does not pin one task with the whole table) and written once
+    to the shared checkpoint folder together with their range number: range
+    counts and rows are then read from the same ranges, whatever columns the
+    frame carries.  Position = rows of earlier ranges + rank in the range.
+    """
+    ranged = df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id())
+    ranged = cut_lineage(ranged, "ordered")
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per range
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     local = Window.partitionBy("_pid").orderBy(*order)
     return (
-        with_pid.withColumn("_r", F.row_number().over(local))
-        .join(F.broadcast(offs), "_pid")
+        ranged.withColumn("_r", F.row_number().over(local))
+        .join(offs, "_pid")
         .withColumn("position", (F.col("_off") + F.col("_r")).cast("bigint"))
-        .drop("_pid", "_off", "_r")
+        .select(*df.columns, "position")
     )

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import nth_token
-from .joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
 
 # Binder threshold and the "no allele" marker.
 MAX_RANK = 0.5
@@ -117,9 +116,8 @@ def attach_binders(
     rank: str = "rank",
     allele: str = "allele",
     max_rank: float = MAX_RANK,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """T5: scores joined to the peptide table on ``pep``, kept below
     ``max_rank`` with a known allele."""
     good = scores.filter((F.col(rank) < max_rank) & F.coalesce(F.col(allele) != UNKNOWN_ALLELE, F.lit(True)))
-    return peptides.join(sized_broadcast(good, max_broadcast_rows), "pep", "inner")
+    return peptides.join(good, "pep", "inner")

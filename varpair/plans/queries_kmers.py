@@ -88,8 +88,15 @@ def q_kmer_chop(spark, sf):
 
 @register(
     "kmer_absent",
-    _CHOP_SQL + ",\nk AS (SELECT * FROM c WHERE pep NOT IN (SELECT DISTINCT ref_pep FROM c WHERE ref_pep IS NOT NULL))"
-    + _SUMMARY_SQL.format(src="k"),
+    _CHOP_SQL + """,
+g AS (SELECT doc_id, pep_length, pep, count(*) AS n, min(pep_num) AS first, max(seq_mut_pos) AS smp, max(pep_mut_loc) AS pml
+      FROM c GROUP BY doc_id, pep_length, pep),
+refs AS (SELECT DISTINCT ref_pep FROM c WHERE ref_pep IS NOT NULL),
+k AS (SELECT g.* FROM g ANTI JOIN refs ON g.pep = refs.ref_pep)
+SELECT doc_id, CAST(pep_length AS BIGINT) AS pep_length, CAST(sum(n) AS BIGINT) AS n_peps, count(*) AS n_distinct,
+       min(pep) AS min_pep, max(pep) AS max_pep, CAST(min(first) AS BIGINT) AS first_start,
+       CAST(max(smp) AS BIGINT) AS seq_mut_pos, CAST(max(pml) AS BIGINT) AS pep_mut_loc
+FROM k GROUP BY doc_id, pep_length""",
 )
 def q_kmer_absent(spark, sf):
     """T1 + J12 on whole texts: chopped windows whose peptide equals no

@@ -459,14 +459,17 @@ def q_interval_semi(spark, sf):
 
 @register(
     "mark_duplicates",
-    """SELECT event_id, user_id, event_type,
-  row_number() OVER (PARTITION BY user_id, event_type ORDER BY value DESC NULLS LAST, event_id) > 1 AS duplicate
-FROM events""",
+    """SELECT event_id, user_id, event_type, score,
+  row_number() OVER (PARTITION BY user_id, event_type ORDER BY score DESC NULLS LAST, event_id) > 1 AS duplicate
+FROM (SELECT event_id, CASE WHEN user_id <> 8 THEN user_id END AS user_id, nullif(event_type, 'error') AS event_type,
+             CASE WHEN value >= 2 THEN CAST(floor(value) AS INT) END AS score FROM events)""",
 )
 def q_mark_duplicates(spark, sf):
-    """Per (user, event type) keep the highest value; the rest are marked."""
-    ev = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "user_id", "event_type", "value")
-    return mark_duplicates(ev, ["user_id", "event_type"], "value", ["event_id"]).drop("value")
+    """Per (user, event type), NULL keys together, keep the highest integer score; the rest are marked."""
+    ev = spark.read.parquet(f"{sf}/events.parquet").selectExpr(
+        "event_id", "CASE WHEN user_id <> 8 THEN user_id END AS user_id", "nullif(event_type, 'error') AS event_type",
+        "CASE WHEN value >= 2 THEN CAST(floor(value) AS INT) END AS score")
+    return mark_duplicates(ev, ["user_id", "event_type"], "score", ["event_id"])
 
 
 _ORDER_KEYS = ["l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice"]
@@ -474,14 +477,12 @@ _ORDER_KEYS = ["l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_quanti
 
 @register(
     "ordered_records",
-    "SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (ORDER BY "
-    + ", ".join(_ORDER_KEYS) + ") AS position FROM lineitem",
+    "SELECT *, row_number() OVER (ORDER BY " + ", ".join(_ORDER_KEYS) + ") AS position FROM lineitem",
 )
 def q_ordered_records(spark, sf):
-    """O2 + O4: lineitems in a total order, the global position as a column
+    """O2 + O4: lineitems with all their columns in a total order, the global position as a column
     (range partitioning + per-partition ranks, no single-task sort)."""
-    li = spark.read.parquet(f"{sf}/lineitem.parquet").select(*_ORDER_KEYS)
-    return ordered_records(li, _ORDER_KEYS).select("l_orderkey", "l_linenumber", "l_partkey", "position")
+    return ordered_records(spark.read.parquet(f"{sf}/lineitem.parquet"), _ORDER_KEYS)
 
 
 @register(
