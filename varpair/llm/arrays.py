@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at a time inside a task (a longer text is one piece of its own).
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 _MULT = 0x9E3779B97F4A7C15
 _U = np.uint64
 

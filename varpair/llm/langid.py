@@ -63,7 +63,7 @@ def subword_counts(data: np.ndarray, offsets: np.ndarray, buckets: int = BUCKETS
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in A.chunks(batches, limit=1 << 19, rows=64):
+    for part in A.chunks(batches, rows=64):
         counts = subword_counts(*A.text_bytes(part.column("text")))
         slots = [np.flatnonzero(c).astype(np.int32) for c in counts]
         yield pa.RecordBatch.from_arrays(
@@ -163,7 +163,7 @@ def predict_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        for part in A.chunks(batches, limit=1 << 19, rows=64):
+        for part in A.chunks(batches, rows=64):
             n = part.num_rows
             lang, score, sure = [UNKNOWN] * n, np.zeros(n), np.zeros(n, dtype=bool)
             if m is not None and n:

@@ -108,11 +108,21 @@ def bitmap_of(df: DataFrame, column: str) -> Broadcast:
     return df.sparkSession.sparkContext.broadcast(out)
 
 
+def may_hold(rows: DataFrame, ids: Broadcast) -> DataFrame:
+    """doc_id, text_key, text of the rows whose doc_id may be in the bitmap; leaves out most others before a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(has(ids.value, batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64))))
+
+    return in_tasks(rows.select("doc_id", "text_key", "text"), run, "doc_id long, text_key long, text string")
+
+
 def anchor_counts(rows: DataFrame, shape: Shape) -> DataFrame:
     """anchor, n of every anchor found more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in A.chunks(batches, limit=4 * A.CHUNK_BYTES):
+        for part in A.chunks(batches, limit=2 * A.CHUNK_BYTES):
             anchors, n = np.unique(shape.segments(shape.units(part.column("text")))["anchor"], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(anchors), pa.array(n)], names=["anchor", "n"])
 
@@ -147,13 +157,7 @@ def distinct_segments(rows: DataFrame, shape: Shape, name: str) -> DataFrame:
     kinds = saved(kinds, f"{name}-kinds")
     total = kinds.groupBy("anchor").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).filter("total > 1").drop("total")
     needed = saved(kinds.join(total, "anchor").select("anchor", "digest", "n", "kinds", "at.*"), f"{name}-needed")
-    holders = bitmap_of(needed, "doc_id")
-
-    def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(has(holders.value, batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64))))
-
-    texts = in_tasks(rows, holding, "doc_id long, text_key long, text string").dropDuplicates(["doc_id", "text_key"])
+    texts = may_hold(rows, bitmap_of(needed, "doc_id")).dropDuplicates(["doc_id", "text_key"])
     wanted = needed.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("anchor", "digest", "n", "kinds", "first", "last")).alias("segments"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
