@@ -28,6 +28,13 @@ HEADLINE = [
     "interval_semi",
     "best_allele",
     "peptide_groups",
+    "index_shift",
+    "mark_duplicates",
+    "ordered_records",
+    "binder_join",
+    "pair_windows",
+    "custom_proteome",
+    "y_removal",
 ]
 
 

@@ -54,3 +54,70 @@ def test_pair_job(spark, tmp_path):
     assert by_change["p.P4S"].ALLELE == "0"
     peps = pair_job.peptides(pair_job.pair_and_window(tables["host"], tables["donor"])).collect()
     assert peps and all(8 <= len(r.pep) <= 11 for r in peps)
+
+
+def _pair_inputs(spark, tmp_path):
+    """T1 changed by both samples, T2 by the host only, T3 by the donor only; one change that does not parse."""
+    change = lambda t, c, p, alt, gene="GENE1", cls="MISSENSE": _ann(
+        hugoSymbol=gene, variantClassification=cls, variantType="SNP", tumorSeqAllele2=alt, annotationTranscript=t, cDnaChange=c, proteinChange=p)
+    host_p, donor_p = os.path.join(tmp_path, "h.vcf.gz"), os.path.join(tmp_path, "d.vcf.gz")
+    _vcf(host_p, [(105, "C", "A", change("T1", "c.5C>A", "p.A2D", "A"), "0/1"), (205, "C", "A", change("T2", "c.5C>A", "p.A2D", "A", "GENE2"), "1/1"),
+                  (305, "C", "A", change("T2", "c.5C>A", "strange", "A", "GENE2"), "1/1"), (405, "G", "A", change("T2", "c.8A>G", "p.K3*", "G", "GENE2", "NONSENSE"), "0/1")])
+    _vcf(donor_p, [(110, "C", "T", change("T1", "c.10C>T", "p.P4S", "T"), "1/1"), (210, "C", "T", change("T3", "c.10C>T", "p.P4S", "T", "GENE3"), "1/1")])
+    ref_p = os.path.join(tmp_path, "r.tsv")
+    with open(ref_p, "w") as f:
+        f.write("gene\tensembl_gene\tensembl_transcript\tmrna\trefProtein\n")
+        for i, (gene, mrna) in enumerate([("GENE1", MRNA), ("GENE2", MRNA), ("GENE3", MRNA), ("USP9Y", MRNA), ("GENE5", "")], 1):
+            f.write(f"{gene}\tG{i}\tT{i}\t{mrna}\t{PROT}\n")
+    ref = read_reference(spark, ref_p)
+    out = {"reference": ref}
+    for s, p in (("host", host_p), ("donor", donor_p)):
+        header, out[f"{s}_body"] = read_vcf(spark, p, s)
+        out[f"{s}_fields"] = annotation_field_names(header)
+    return out
+
+
+def test_one_sample_transcripts_have_the_reference_protein(spark, tmp_path):
+    t = _pair_inputs(spark, tmp_path)
+    tables = {s: pair_job.sample_tables(pair_job.sample_changes(t[f"{s}_body"], t[f"{s}_fields"], t["reference"], s)) for s in ("host", "donor")}
+    rows = {(r.annotationTranscript, r.proteinChange): r for r in pair_job.pair_and_window(tables["host"], tables["donor"]).collect()}
+    assert set(rows) == {("T1", "p.A2D"), ("T1", "p.P4S"), ("T2", "p.A2D"), ("T3", "p.P4S")}
+    only_host, only_donor = rows["T2", "p.A2D"], rows["T3", "p.P4S"]
+    assert only_host.host_sequence.startswith("MDKP") and only_host.donor_sequence.startswith("MAKP")
+    assert only_donor.host_sequence.startswith("MAKP") and only_donor.donor_sequence.startswith("MAKS") and only_donor.ALLELE == "0"
+    peps = pair_job.peptides(pair_job.pair_and_window(tables["host"], tables["donor"])).collect()
+    assert peps and all(r.pep is not None for r in peps)
+    # self peptides of a transcript changed by one sample are not reported
+    assert not any(r.annotationTranscript == "T2" and "D" not in r.pep for r in peps)
+
+
+def test_run_pair_branches_and_summary(spark, tmp_path):
+    from varpair.sources.params import RunParams
+
+    t = _pair_inputs(spark, tmp_path)
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    t |= {
+        "classes": frame([("GENE2", "lung"), ("GENE9", "skin")], "gvhd_genes string, gvhd_classfication string"),
+        "gene_sets": frame([("liver", "M", "GENE1"), ("liver", "F", "GENE2"), ("BLOOD", "M", "GENE3")], "tissue string, sex string, symbol string"),
+        "tpm": frame([("GENE3", 40.0), ("GENE2", 5.0), ("GENE1", 1.0)], "Description string, TPM double"),
+        "rna_low_M": frame([("GENE3",)], "Description string"), "rna_low_F": frame([("GENE2",)], "Description string"),
+        "prot_low_M": frame([("GENE9",)], "hgnc_symbol string"), "prot_low_F": frame([("GENE2",)], "hgnc_symbol string"),
+        "y_peptides": frame([("USP9Y", "MAKPGFEL", "Y1"), ("USP9Y", "WWWWWWWW", "Y2"), ("USP9Y", "SHORT", "Y3")], "gene string, pep string, pep_id string"),
+    }
+    out = pair_job.run_pair(RunParams("liver", "male", "female"), t)
+    assert {r.hugoSymbol for r in out["gvhd_peptides"].collect()} == {"GENE2"}
+    assert {r.hugoSymbol for r in out["tissue_peptides"].collect()} == {"GENE1", "GENE3"}  # liver set of men, and expressed > 32 with low RNA
+    flags = {(r.hugoSymbol, r.liver, r.BLOOD, r.patient_exp) for r in out["tissue_peptides"].collect()}
+    assert flags == {("GENE1", "yes", "no", "no"), ("GENE3", "no", "yes", "yes")}
+    assert out["host_y"].count() == 0
+    assert [r.pep_id for r in out["y_peptides"].collect()] == ["Y2"]  # the other is in both proteomes
+    host = {r.annotationTranscript: (r.protmut1, r.protmut2) for r in out["host_proteome"].collect()}
+    assert set(host) == {"T1", "T2", "T3", "T4"} and host["T3"] == (PROT, PROT) and host["T2"][0].startswith("MDKP")
+    summary = {(r.stage, r.metric): r.value for r in out["summary"].collect()}
+    assert summary["host", "variants"] == 3 and summary["host", "unparsed"] == 1 and summary["discordances", "variants"] == 4
+    # both sexes' tables where the sex is unknown; nonsense changes on request
+    t = {k: v for k, v in t.items() if k not in ("classes", "y_peptides")}
+    out = pair_job.run_pair(RunParams("liver", None, None, keep_nonsense=True), t)
+    assert "host_y" not in out and "gvhd_peptides" not in out
+    summary = {(r.stage, r.metric): r.value for r in out["summary"].collect()}
+    assert summary["tissue", "distinct_hugoSymbol"] == 3 and summary["host", "variants"] == 4

@@ -23,10 +23,12 @@ CDNA_DEL_RANGE = r"^c\.(\d+)_(\d+)del([A-Z]*)$"
 CDNA_DEL_POINT = r"^c\.(\d+)del([A-Z]*)$"
 
 PROT_SUB = r"^p\.([A-Z]+)(\d+)([A-Z]*)$"
+PROT_SUB_STAR = r"^p\.([A-Z*]+)(\d+)([A-Z*]*)$"  # a substitution may read or make a stop
 PROT_LEAD = r"^p\.([A-Z]+)(\d+)"
 PROT_INS_RANGE = r"^p\.[A-Z]*(\d+)_[A-Z]*(\d+)ins([A-Z]*)$"
 PROT_DEL_SUBST = r"^p\.[A-Z]*(\d+)(?:_[A-Z]*\d+)?([A-Z]+)>([A-Z]+)$"
 PROT_STAR_FS = r"\*(\d+)fs"
+PROT_DEL_STAR = r"^p\.([A-Z]+)\*([A-Z]+)(\d+)$"  # a deletion written across a stop
 
 
 def _int(s: Column) -> Column:
@@ -82,6 +84,10 @@ def parse_protein(change: str | Column, vtype: str | Column) -> Column:
 
     sub_n = _int(_rx(c, PROT_SUB, 2))
     sub = _prot(sub_n, sub_n, _rx(c, PROT_SUB, 1), _rx(c, PROT_SUB, 3), no)
+    stop_n = _int(_rx(c, PROT_SUB_STAR, 2))
+    sub_star = _prot(stop_n, stop_n, _rx(c, PROT_SUB_STAR, 1), _rx(c, PROT_SUB_STAR, 3), no)
+    del_star_n = _int(_rx(c, PROT_DEL_STAR, 3))
+    del_star = _prot(del_star_n, del_star_n, _rx(c, PROT_DEL_STAR, 1), _rx(c, PROT_DEL_STAR, 2), no)
     lead_n = _int(_rx(c, PROT_LEAD, 2))
     lead_ref = _rx(c, PROT_LEAD, 1)
     ins_fs = _prot(lead_n, lead_n, lead_ref, F.lit(""), yes)
@@ -96,12 +102,13 @@ def parse_protein(change: str | Column, vtype: str | Column) -> Column:
     del_plain = _prot(lead_n, lead_n, lead_ref, F.lit(""), has_fs)
 
     return (
-        F.when(t.isin(*SUBSTITUTION_TYPES) & _matches(c, PROT_SUB), sub)
+        F.when(t.isin(*SUBSTITUTION_TYPES) & _matches(c, PROT_SUB_STAR), sub_star)
         .when((t == "INS") & has_fs & _matches(c, PROT_LEAD), ins_fs)
         .when((t == "INS") & has_svp & _matches(c, PROT_LEAD), ins_svp)
         .when((t == "INS") & c.contains("_") & _matches(c, PROT_INS_RANGE), ins_r)
         .when((t == "INS") & ~c.contains("_") & _matches(c, PROT_SUB), sub)
         .when((t == "DEL") & c.contains(">") & _matches(c, PROT_DEL_SUBST), del_sub)
         .when((t == "DEL") & has_star & has_fs & _matches(c, PROT_STAR_FS), del_star_fs)
+        .when((t == "DEL") & has_star & ~has_fs & _matches(c, PROT_DEL_STAR), del_star)
         .when((t == "DEL") & ~has_star & _matches(c, PROT_LEAD), del_plain)
     )

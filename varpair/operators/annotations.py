@@ -87,12 +87,12 @@ def pass_filter(df: DataFrame, filter_col: str = "FILTER", gt_col: str | None =
     return df.filter(cond)
 
 
-def reference_filters(df: DataFrame) -> DataFrame:
-    """F7 + F8: no ``*`` in the protein change, no in-frame deletions, cDNA and
-    protein change present (NULL-safe as in pandas)."""
+def reference_filters(df: DataFrame, keep_nonsense: bool = False) -> DataFrame:
+    """F7 + F8: no ``*`` in the protein change (unless ``keep_nonsense``), no
+    in-frame deletions, cDNA and protein change present (NULL-safe as in pandas)."""
+    stop = F.lit(False) if keep_nonsense else F.coalesce(F.col("proteinChange").contains("*"), F.lit(False))
     return df.filter(
-        ~F.coalesce(F.col("proteinChange").contains("*"), F.lit(False))
-        & not_equal("variantClassification", "IN_FRAME_DEL")
+        ~stop & not_equal("variantClassification", "IN_FRAME_DEL")
         & F.col("cDnaChange").isNotNull() & F.col("proteinChange").isNotNull()
     )
 

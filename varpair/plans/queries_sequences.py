@@ -6,33 +6,35 @@ from pyspark.sql import functions as F
 
 from ..functions import genotype as G
 from ..functions import hgvs
-from ..functions.codons import CODON_TABLE, translate
+from ..functions.codons import translate
 from ..functions.strings import cds_slice
 from ..operators.context import context_window
-from ..operators.sequences import assign_strands, index_shift, mutated_proteins, strand_members
+from ..operators.sequences import DEFAULT_SLICE, assign_strands, index_shift, mutated_proteins, strand_members
 from .registry import register
 from .standins import CHANGES, TRANSCRIPTS, amino, with_ctes
 
 ORDER = ("mutstart", "POS", "variantType", "mutalt", "protalt", "GT")
-GROUP = ("annotationTranscript",)
+GROUP = ("sample", "annotationTranscript")
+SEQUENCES = ("mrna", "refProtein", "protmut1", "protmut2")
 
 
 def changes_with_zygosity(spark, sf):
     return CHANGES.df(spark, sf).withColumn("loci", G.zygosity("GT"))
 
 
-# Slice width of the segmented strand assignment: changes sit at cDNA
-# positions 1..60 here, so a width of 16 cuts every transcript into several
-# slices and the cross-slice carries are exercised on every run.
-SLICE_WIDTH = 16
+def sequences(spark, sf):
+    """The sequences of every transcript, one row each."""
+    rows = CHANGES.df(spark, sf).select("annotationTranscript", *SEQUENCES)
+    return rows.groupBy("annotationTranscript").agg(*[F.first(c, ignorenulls=True).alias(c) for c in SEQUENCES])
 
 
-def strands(spark, sf, segmented: bool = False):
-    return assign_strands(changes_with_zygosity(spark, sf), GROUP, ORDER, segmented=segmented, bucket_width=SLICE_WIDTH)
+def strands(spark, sf):
+    """Strand assignment on the change columns alone; sequences are attached afterwards."""
+    return assign_strands(changes_with_zygosity(spark, sf).drop(*SEQUENCES), GROUP, ORDER, segmented=True)
 
 
 # ---------------------------------------------------------------- SQL pieces
-_W = "PARTITION BY annotationTranscript ORDER BY mutstart, POS, variantType, mutalt, protalt, GT"
+_W = "PARTITION BY sample, annotationTranscript ORDER BY mutstart, POS, variantType, mutalt, protalt, GT"
 STRANDS_SQL = with_ctes(CHANGES) + f""",
 cz AS (SELECT *, CASE WHEN GT IN ('0/1', '1/2') THEN 'het' WHEN GT = '1/1' THEN 'hom' END AS loci FROM changes),
 s0 AS (SELECT *, lag(protstart, 1, -1) OVER w AS pp, lag(mutstart, 1, -1) OVER w AS pm,
@@ -61,7 +63,7 @@ s2 AS (SELECT *,
 s3 AS (SELECT *, CAST(sum(inc) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS INT) AS mut_index,
               coalesce(whichdf IN (2, 3), false) AS on2
        FROM s2),
-strands AS (SELECT *, coalesce(on2 AND lead(evicting, 1, false) OVER (PARTITION BY annotationTranscript, on2 ORDER BY mutstart, POS, variantType, mutalt, protalt, GT), false) AS evicted
+strands AS (SELECT *, coalesce(on2 AND lead(evicting, 1, false) OVER (PARTITION BY sample, annotationTranscript, on2 ORDER BY mutstart, POS, variantType, mutalt, protalt, GT), false) AS evicted
             FROM s3)"""
 
 _STEP = ("CASE WHEN variantType = 'INS' THEN length(coalesce(protalt, '')) "
@@ -77,7 +79,13 @@ shifted AS (SELECT *,
   CAST(coalesce(sum(CASE WHEN {_ON2} THEN {_STEP} ELSE 0 END) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INT) AS base_before_2
   FROM strands)"""
 
-_CODON_MAP_SQL = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in CODON_TABLE.items()) + "}"
+# The standard genetic code in T, C, A, G order of the three letters.
+_CODE = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
+
+
+def _codon_sql(c: str) -> str:
+    at = [f"instr('TCAG', substring({c}, {i}, 1))" for i in (1, 2, 3)]
+    return f"CASE WHEN {at[0]} * {at[1]} * {at[2]} > 0 THEN substring('{_CODE}', 16 * {at[0]} + 4 * {at[1]} + {at[2]} - 20, 1) ELSE 'X' END"
 
 
 def translate_sql(s: str) -> tuple[str, str]:
@@ -85,7 +93,7 @@ def translate_sql(s: str) -> tuple[str, str]:
     st = f"(CASE WHEN instr({s}, 'ATG') > 0 THEN instr({s}, 'ATG') ELSE instr({s}, 'GTG') END)"
     n = f"CAST(floor((length({s}) - ({st} + 2) + 2) / 3.0) AS INT)"
     codons = f"(CASE WHEN {n} > 0 THEN list_transform(range(0, {n}), lambda j: substring({s}, {st} + 3 + 3 * j, 3)) ELSE []::VARCHAR[] END)"
-    aas = f"list_transform({codons}, lambda c: CASE WHEN length(c) < 3 THEN '*' ELSE coalesce(({_CODON_MAP_SQL})[c], 'X') END)"
+    aas = f"list_transform({codons}, lambda c: CASE WHEN length(c) < 3 THEN '*' ELSE {_codon_sql('c')} END)"
     stop = f"coalesce(list_position({aas}, '*'), 0)"
     prot = f"CASE WHEN {st} > 0 THEN 'M' || array_to_string(CASE WHEN {stop} > 0 THEN list_slice({aas}, 1, {stop}) ELSE {aas} END, '') ELSE '' END"
     full_stop = f"({stop} > 0 AND length({codons}[{stop}]) = 3)"
@@ -108,7 +116,7 @@ def tail0_sql(s: str, a: str) -> str:
 @register(
     "strand_assign",
     STRANDS_SQL + """
-SELECT annotationTranscript, POS, CAST(whichdf AS BIGINT) AS whichdf, CAST(mut_index AS BIGINT) AS mut_index, evicted
+SELECT sample, annotationTranscript, POS, CAST(whichdf AS BIGINT) AS whichdf, CAST(mut_index AS BIGINT) AS mut_index, evicted
 FROM strands""",
 )
 def q_strand_assign(spark, sf):
@@ -116,7 +124,7 @@ def q_strand_assign(spark, sf):
     decided from the previous change of the same transcript — in the
     segmented (hot-transcript-safe) form: transcripts cut into position
     slices, carries across slices through per-slice tables."""
-    s = strands(spark, sf, segmented=True)
+    s = strands(spark, sf)
     return s.select(
         *GROUP, "POS", F.col("whichdf").cast("bigint").alias("whichdf"),
         F.col("mut_index").cast("bigint").alias("mut_index"), "evicted",
@@ -126,14 +134,14 @@ def q_strand_assign(spark, sf):
 @register(
     "index_shift",
     SHIFT_SQL + """
-SELECT annotationTranscript, POS, CAST(base_index_1 AS BIGINT) AS base_index_1, CAST(base_before_1 AS BIGINT) AS base_before_1,
+SELECT sample, annotationTranscript, POS, CAST(base_index_1 AS BIGINT) AS base_index_1, CAST(base_before_1 AS BIGINT) AS base_before_1,
        CAST(base_index_2 AS BIGINT) AS base_index_2, CAST(base_before_2 AS BIGINT) AS base_before_2
 FROM shifted""",
 )
 def q_index_shift(spark, sf):
     """W3 + W4: running protein-index shift per strand, with and without the
     row itself — segmented over position slices (hot-transcript-safe)."""
-    s = index_shift(strands(spark, sf, segmented=True), GROUP, ORDER, bucket_width=SLICE_WIDTH)
+    s = index_shift(strands(spark, sf), GROUP, ORDER, bucket_width=DEFAULT_SLICE)
     return s.select(*GROUP, "POS", *[F.col(c).cast("bigint").alias(c) for c in
                                     ("base_index_1", "base_before_1", "base_index_2", "base_before_2")])
 
@@ -146,31 +154,31 @@ m1 AS (SELECT *, CASE WHEN variantType = 'INS' THEN mutstart ELSE mutend END AS
               CASE WHEN variantType = 'INS' THEN mutstart ELSE mutstart - 1 END AS cut
        FROM members),
 m2 AS (SELECT *, row_number() OVER v AS rn, lag(new_end, 1, 0) OVER v AS prev_end
-       FROM m1 WINDOW v AS (PARTITION BY annotationTranscript, strand ORDER BY mutstart, POS, variantType, mutalt, protalt, GT)),
+       FROM m1 WINDOW v AS (PARTITION BY sample, annotationTranscript, strand ORDER BY mutstart, POS, variantType, mutalt, protalt, GT)),
 m3 AS (SELECT *, {slice0_sql('mrna', 'prev_end', 'cut')} || coalesce(mutalt, '') AS piece FROM m2),
-sp AS (SELECT annotationTranscript, strand, any_value(mrna) AS mrna,
+sp AS (SELECT sample, annotationTranscript, strand, any_value(mrna) AS mrna,
               string_agg(piece, '' ORDER BY rn) AS body, arg_max(new_end, rn) AS last_end
-       FROM m3 GROUP BY annotationTranscript, strand),
-sp2 AS (SELECT annotationTranscript, strand, body || {tail0_sql('mrna', 'last_end')} AS spliced FROM sp),
-tr AS (SELECT annotationTranscript, strand, {_P1} AS prot, {_M1} AS cdna FROM sp2),
-per_tx AS (SELECT annotationTranscript, any_value(mrna) AS mrna, any_value(refProtein) AS refProtein, max(protstart) AS max_prot
-           FROM changes GROUP BY annotationTranscript),
-wide AS (SELECT annotationTranscript,
+       FROM m3 GROUP BY sample, annotationTranscript, strand),
+sp2 AS (SELECT sample, annotationTranscript, strand, body || {tail0_sql('mrna', 'last_end')} AS spliced FROM sp),
+tr AS (SELECT sample, annotationTranscript, strand, {_P1} AS prot, {_M1} AS cdna FROM sp2),
+per_tx AS (SELECT sample, annotationTranscript, any_value(mrna) AS mrna, any_value(refProtein) AS refProtein, max(protstart) AS max_prot
+           FROM changes GROUP BY sample, annotationTranscript),
+wide AS (SELECT sample, annotationTranscript,
                 max(CASE WHEN strand = 1 THEN cdna END) AS c1, max(CASE WHEN strand = 2 THEN cdna END) AS c2,
                 max(CASE WHEN strand = 1 THEN prot END) AS p1, max(CASE WHEN strand = 2 THEN prot END) AS p2,
                 max(CASE WHEN strand = 1 THEN 1 END) AS has1, max(CASE WHEN strand = 2 THEN 1 END) AS has2
-         FROM tr GROUP BY annotationTranscript),
-proteins AS (SELECT t.annotationTranscript,
+         FROM tr GROUP BY sample, annotationTranscript),
+proteins AS (SELECT t.sample, t.annotationTranscript,
    CASE WHEN coalesce(length(refProtein) < max_prot, false) OR has1 IS NULL THEN mrna ELSE c1 END AS cdnamut1,
    CASE WHEN coalesce(length(refProtein) < max_prot, false) OR has2 IS NULL THEN mrna ELSE c2 END AS cdnamut2,
    CASE WHEN coalesce(length(refProtein) < max_prot, false) OR has1 IS NULL THEN refProtein ELSE p1 END AS protmut1,
    CASE WHEN coalesce(length(refProtein) < max_prot, false) OR has2 IS NULL THEN refProtein ELSE p2 END AS protmut2
-   FROM per_tx t LEFT JOIN wide w ON t.annotationTranscript = w.annotationTranscript)"""
+   FROM per_tx t LEFT JOIN wide w ON t.annotationTranscript = w.annotationTranscript AND t.sample = w.sample)"""
 
 
 def proteins(spark, sf):
-    s = strands(spark, sf, segmented=True)
-    return mutated_proteins(s, strand_members(s), GROUP, ORDER, bucket_width=SLICE_WIDTH)
+    s = strands(spark, sf)
+    return mutated_proteins(s, strand_members(s), GROUP, ORDER, sequences=sequences(spark, sf))
 
 
 @register("splice_edits", _SPLICE_SQL + "\nSELECT * FROM proteins")
@@ -236,7 +244,7 @@ w1 AS (SELECT *,
    CASE WHEN beyond THEN '*' ELSE {_strand_window_sql('protmut2', 'base_before_2', 'code IN (2, 3)')} END AS sw2,
    CASE WHEN beyond THEN NULL ELSE {_ref_window_sql()} END AS ref_peptide
    FROM w0)
-SELECT annotationTranscript, POS,
+SELECT sample, annotationTranscript, POS,
        CASE WHEN coalesce(hetsite, false) AND code IN (2, 3) THEN '*' ELSE sw1 END AS seqpad1,
        CASE WHEN coalesce(hetsite, false) AND code IN (1, 3) THEN '*' ELSE sw2 END AS seqpad2,
        ref_peptide
@@ -249,11 +257,21 @@ def q_context_window(spark, sf):
     proteins of the sample, using the carried index shift of each strand
     (segmented strand assignment and shifts), with multi-allelic-site
     masking; plus the reference window."""
-    s = index_shift(strands(spark, sf, segmented=True), GROUP, ORDER, bucket_width=SLICE_WIDTH)
-    out = context_window(s, het_site="hetsite")
+    s = index_shift(strands(spark, sf), GROUP, ORDER, bucket_width=DEFAULT_SLICE)
+    out = context_window(s.join(sequences(spark, sf), "annotationTranscript", "left"), het_site="hetsite")
     return out.select(*GROUP, "POS", "seqpad1", "seqpad2", "ref_peptide")
 
 
+# Patterns of the oracles, written apart from those under test.
+_CDNA = {
+    "SUB": "^c[.]([0-9]+)([A-Z]*)>([A-Z]*)$",
+    "INS_RANGE": "^c[.]([0-9]+)_([0-9]+)ins([A-Z]*)$",
+    "INS_POINT": "^c[.]([0-9]+)ins([A-Z]*)$",
+    "DEL_RANGE": "^c[.]([0-9]+)_([0-9]+)del([A-Z]*)$",
+    "DEL_POINT": "^c[.]([0-9]+)del([A-Z]*)$",
+}
+
+
 # -- HGVS round trips (C5, C6) -------------------------------------------------
 def _cdna_text():
     return (
@@ -270,28 +288,28 @@ def _cdna_text():
     with_ctes(CHANGES) + f""",
 t AS (SELECT POS, variantType, {_cdna_text()} AS cDnaChange FROM changes)
 SELECT POS, cDnaChange,
-  CAST(CASE WHEN variantType IN ('SNP','DNP','TNP','ONP') AND regexp_matches(cDnaChange, '{hgvs.CDNA_SUB}')
-         THEN CAST(regexp_extract(cDnaChange, '{hgvs.CDNA_SUB}', 1) AS INT)
-       WHEN variantType = 'INS' AND regexp_matches(cDnaChange, '{hgvs.CDNA_INS_RANGE}') THEN CAST(regexp_extract(cDnaChange, '{hgvs.CDNA_INS_RANGE}', 1) AS INT)
-       WHEN variantType = 'INS' AND regexp_matches(cDnaChange, '{hgvs.CDNA_INS_POINT}') THEN CAST(regexp_extract(cDnaChange, '{hgvs.CDNA_INS_POINT}', 1) AS INT)
-       WHEN variantType = 'DEL' AND regexp_matches(cDnaChange, '{hgvs.CDNA_DEL_RANGE}') THEN CAST(regexp_extract(cDnaChange, '{hgvs.CDNA_DEL_RANGE}', 1) AS INT)
-       WHEN variantType = 'DEL' AND regexp_matches(cDnaChange, '{hgvs.CDNA_DEL_POINT}') THEN CAST(regexp_extract(cDnaChange, '{hgvs.CDNA_DEL_POINT}', 1) AS INT)
+  CAST(CASE WHEN variantType IN ('SNP','DNP','TNP','ONP') AND regexp_matches(cDnaChange, '{_CDNA["SUB"]}')
+         THEN CAST(regexp_extract(cDnaChange, '{_CDNA["SUB"]}', 1) AS INT)
+       WHEN variantType = 'INS' AND regexp_matches(cDnaChange, '{_CDNA["INS_RANGE"]}') THEN CAST(regexp_extract(cDnaChange, '{_CDNA["INS_RANGE"]}', 1) AS INT)
+       WHEN variantType = 'INS' AND regexp_matches(cDnaChange, '{_CDNA["INS_POINT"]}') THEN CAST(regexp_extract(cDnaChange, '{_CDNA["INS_POINT"]}', 1) AS INT)
+       WHEN variantType = 'DEL' AND regexp_matches(cDnaChange, '{_CDNA["DEL_RANGE"]}') THEN CAST(regexp_extract(cDnaChange, '{_CDNA["DEL_RANGE"]}', 1) AS INT)
+       WHEN variantType = 'DEL' AND regexp_matches(cDnaChange, '{_CDNA["DEL_POINT"]}') THEN CAST(regexp_extract(cDnaChange, '{_CDNA["DEL_POINT"]}', 1) AS INT)
   END AS BIGINT) AS mutstart,
-  CAST(CASE WHEN variantType IN ('SNP','DNP','TNP','ONP') AND regexp_matches(cDnaChange, '{hgvs.CDNA_SUB}')
-         THEN CAST(regexp_extract(cDnaChange, '{hgvs.CDNA_SUB}', 1) AS INT) + length(regexp_extract(cDnaChange, '{hgvs.CDNA_SUB}', 2)) - 1
-       WHEN variantType = 'INS' AND regexp_matches(cDnaChange, '{hgvs.CDNA_INS_RANGE}') THEN CAST(regexp_extract(cDnaChange, '{hgvs.CDNA_INS_RANGE}', 2) AS INT)
-       WHEN variantType = 'INS' AND regexp_matches(cDnaChange, '{hgvs.CDNA_INS_POINT}') THEN CAST(regexp_extract(cDnaChange, '{hgvs.CDNA_INS_POINT}', 1) AS INT)
-       WHEN variantType = 'DEL' AND regexp_matches(cDnaChange, '{hgvs.CDNA_DEL_RANGE}') THEN CAST(regexp_extract(cDnaChange, '{hgvs.CDNA_DEL_RANGE}', 2) AS INT)
-       WHEN variantType = 'DEL' AND regexp_matches(cDnaChange, '{hgvs.CDNA_DEL_POINT}') THEN CAST(regexp_extract(cDnaChange, '{hgvs.CDNA_DEL_POINT}', 1) AS INT)
+  CAST(CASE WHEN variantType IN ('SNP','DNP','TNP','ONP') AND regexp_matches(cDnaChange, '{_CDNA["SUB"]}')
+         THEN CAST(regexp_extract(cDnaChange, '{_CDNA["SUB"]}', 1) AS INT) + length(regexp_extract(cDnaChange, '{_CDNA["SUB"]}', 2)) - 1
+       WHEN variantType = 'INS' AND regexp_matches(cDnaChange, '{_CDNA["INS_RANGE"]}') THEN CAST(regexp_extract(cDnaChange, '{_CDNA["INS_RANGE"]}', 2) AS INT)
+       WHEN variantType = 'INS' AND regexp_matches(cDnaChange, '{_CDNA["INS_POINT"]}') THEN CAST(regexp_extract(cDnaChange, '{_CDNA["INS_POINT"]}', 1) AS INT)
+       WHEN variantType = 'DEL' AND regexp_matches(cDnaChange, '{_CDNA["DEL_RANGE"]}') THEN CAST(regexp_extract(cDnaChange, '{_CDNA["DEL_RANGE"]}', 2) AS INT)
+       WHEN variantType = 'DEL' AND regexp_matches(cDnaChange, '{_CDNA["DEL_POINT"]}') THEN CAST(regexp_extract(cDnaChange, '{_CDNA["DEL_POINT"]}', 1) AS INT)
   END AS BIGINT) AS mutend,
-  CASE WHEN variantType IN ('SNP','DNP','TNP','ONP') AND regexp_matches(cDnaChange, '{hgvs.CDNA_SUB}') THEN regexp_extract(cDnaChange, '{hgvs.CDNA_SUB}', 2)
-       WHEN variantType = 'INS' AND (regexp_matches(cDnaChange, '{hgvs.CDNA_INS_RANGE}') OR regexp_matches(cDnaChange, '{hgvs.CDNA_INS_POINT}')) THEN ''
-       WHEN variantType = 'DEL' AND regexp_matches(cDnaChange, '{hgvs.CDNA_DEL_RANGE}') THEN regexp_extract(cDnaChange, '{hgvs.CDNA_DEL_RANGE}', 3)
-       WHEN variantType = 'DEL' AND regexp_matches(cDnaChange, '{hgvs.CDNA_DEL_POINT}') THEN regexp_extract(cDnaChange, '{hgvs.CDNA_DEL_POINT}', 2) END AS mutref,
-  CASE WHEN variantType IN ('SNP','DNP','TNP','ONP') AND regexp_matches(cDnaChange, '{hgvs.CDNA_SUB}') THEN regexp_extract(cDnaChange, '{hgvs.CDNA_SUB}', 3)
-       WHEN variantType = 'INS' AND regexp_matches(cDnaChange, '{hgvs.CDNA_INS_RANGE}') THEN regexp_extract(cDnaChange, '{hgvs.CDNA_INS_RANGE}', 3)
-       WHEN variantType = 'INS' AND regexp_matches(cDnaChange, '{hgvs.CDNA_INS_POINT}') THEN regexp_extract(cDnaChange, '{hgvs.CDNA_INS_POINT}', 2)
-       WHEN variantType = 'DEL' AND (regexp_matches(cDnaChange, '{hgvs.CDNA_DEL_RANGE}') OR regexp_matches(cDnaChange, '{hgvs.CDNA_DEL_POINT}')) THEN '' END AS mutalt
+  CASE WHEN variantType IN ('SNP','DNP','TNP','ONP') AND regexp_matches(cDnaChange, '{_CDNA["SUB"]}') THEN regexp_extract(cDnaChange, '{_CDNA["SUB"]}', 2)
+       WHEN variantType = 'INS' AND (regexp_matches(cDnaChange, '{_CDNA["INS_RANGE"]}') OR regexp_matches(cDnaChange, '{_CDNA["INS_POINT"]}')) THEN ''
+       WHEN variantType = 'DEL' AND regexp_matches(cDnaChange, '{_CDNA["DEL_RANGE"]}') THEN regexp_extract(cDnaChange, '{_CDNA["DEL_RANGE"]}', 3)
+       WHEN variantType = 'DEL' AND regexp_matches(cDnaChange, '{_CDNA["DEL_POINT"]}') THEN regexp_extract(cDnaChange, '{_CDNA["DEL_POINT"]}', 2) END AS mutref,
+  CASE WHEN variantType IN ('SNP','DNP','TNP','ONP') AND regexp_matches(cDnaChange, '{_CDNA["SUB"]}') THEN regexp_extract(cDnaChange, '{_CDNA["SUB"]}', 3)
+       WHEN variantType = 'INS' AND regexp_matches(cDnaChange, '{_CDNA["INS_RANGE"]}') THEN regexp_extract(cDnaChange, '{_CDNA["INS_RANGE"]}', 3)
+       WHEN variantType = 'INS' AND regexp_matches(cDnaChange, '{_CDNA["INS_POINT"]}') THEN regexp_extract(cDnaChange, '{_CDNA["INS_POINT"]}', 2)
+       WHEN variantType = 'DEL' AND (regexp_matches(cDnaChange, '{_CDNA["DEL_RANGE"]}') OR regexp_matches(cDnaChange, '{_CDNA["DEL_POINT"]}')) THEN '' END AS mutalt
 FROM t""",
 )
 def q_hgvs_cdna(spark, sf):
@@ -308,7 +326,10 @@ def q_hgvs_cdna(spark, sf):
 
 def _prot_text():
     return (
-        "CASE WHEN variantType = 'SNP' THEN concat('p.', protref, cast(protstart as string), protalt) "
+        "CASE WHEN variantType = 'SNP' AND variantClassification = 'NONSENSE' THEN concat('p.', protref, cast(protstart as string), '*') "
+        "WHEN variantType = 'SNP' THEN concat('p.', protref, cast(protstart as string), protalt) "
+        "WHEN variantType = 'DEL' AND POS % 5 = 0 THEN concat('p.', protref, '*Q', cast(protstart as string)) "
+        "WHEN variantType = 'DEL' AND POS % 5 = 1 THEN concat('p.', protref, '*', cast(protstart as string), 'fs') "
         "WHEN variantType = 'INS' AND variantClassification = 'FRAME_SHIFT_INS' THEN concat('p.', substr(refProtein, protstart, 1), cast(protstart as string), 'fs') "
         "WHEN variantType = 'INS' AND POS % 3 = 0 THEN concat('p.', cast(protstart as string), '_', cast(protend + 1 as string), 'ins', protalt) "
         "WHEN variantType = 'INS' THEN concat('p.', substr(refProtein, protstart, 1), cast(protstart as string), protalt) "
@@ -319,28 +340,31 @@ def _prot_text():
 
 
 def _prot_sql() -> str:
-    S, L, IR, DS = hgvs.PROT_SUB, hgvs.PROT_LEAD, hgvs.PROT_INS_RANGE, hgvs.PROT_DEL_SUBST
+    S, L = "^p[.]([A-Z]+)([0-9]+)([A-Z]*)$", "^p[.]([A-Z]+)([0-9]+)"
+    SS, SD = "^p[.]([A-Z*]+)([0-9]+)([A-Z*]*)$", "^p[.]([A-Z]+)[*]([A-Z]+)([0-9]+)$"
+    IR, DS = "^p[.][A-Z]*([0-9]+)_[A-Z]*([0-9]+)ins([A-Z]*)$", "^p[.][A-Z]*([0-9]+)(?:_[A-Z]*[0-9]+)?([A-Z]+)>([A-Z]+)$"
     m = lambda p: f"regexp_matches(pc, '{p}')"
     x = lambda p, g: f"regexp_extract(pc, '{p}', {g})"
-    sub = f"variantType IN ('SNP','DNP','TNP','ONP') AND {m(S)}"
+    sub = f"variantType IN ('SNP','DNP','TNP','ONP') AND {m(SS)}"
     ifs = f"variantType = 'INS' AND contains(pc, 'fs') AND {m(L)}"
     isvp = f"variantType = 'INS' AND contains(pc, 'SVP') AND {m(L)}"
     ir = f"variantType = 'INS' AND contains(pc, '_') AND {m(IR)}"
     isub = f"variantType = 'INS' AND NOT contains(pc, '_') AND {m(S)}"
     ds = f"variantType = 'DEL' AND contains(pc, '>') AND {m(DS)}"
     dsf = f"variantType = 'DEL' AND contains(pc, '*') AND contains(pc, 'fs') AND regexp_matches(pc, '\\*(\\d+)fs')"
+    sd = f"variantType = 'DEL' AND contains(pc, '*') AND NOT contains(pc, 'fs') AND NOT contains(pc, '>') AND {m(SD)}"
     dp = f"variantType = 'DEL' AND NOT contains(pc, '*') AND {m(L)}"
     star_n = "CAST(regexp_extract(pc, '\\*(\\d+)fs', 1) AS INT)"
-    start = (f"CASE WHEN {sub} THEN CAST({x(S, 2)} AS INT) WHEN {ifs} OR {isvp} THEN CAST({x(L, 2)} AS INT) "
+    start = (f"CASE WHEN {sub} THEN CAST({x(SS, 2)} AS INT) WHEN {ifs} OR {isvp} THEN CAST({x(L, 2)} AS INT) "
              f"WHEN {ir} THEN CAST({x(IR, 1)} AS INT) WHEN {isub} THEN CAST({x(S, 2)} AS INT) "
-             f"WHEN {ds} THEN CAST({x(DS, 1)} AS INT) WHEN {dsf} THEN {star_n} WHEN {dp} THEN CAST({x(L, 2)} AS INT) END")
+             f"WHEN {ds} THEN CAST({x(DS, 1)} AS INT) WHEN {dsf} THEN {star_n} WHEN {sd} THEN CAST({x(SD, 3)} AS INT) WHEN {dp} THEN CAST({x(L, 2)} AS INT) END")
     end = (f"CASE WHEN {ir} AND NOT ({sub}) AND NOT ({ifs}) AND NOT ({isvp}) THEN CAST({x(IR, 2)} AS INT) ELSE {start} END")
-    ref = (f"CASE WHEN {sub} THEN {x(S, 1)} WHEN {ifs} THEN {x(L, 1)} WHEN {isvp} THEN '' WHEN {ir} THEN '' "
-           f"WHEN {isub} THEN {x(S, 1)} WHEN {ds} THEN {x(DS, 2)} WHEN {dsf} THEN '*' WHEN {dp} THEN {x(L, 1)} END")
-    alt = (f"CASE WHEN {sub} THEN {x(S, 3)} WHEN {ifs} THEN '' WHEN {isvp} THEN {x(L, 1)} WHEN {ir} THEN {x(IR, 3)} "
-           f"WHEN {isub} THEN {x(S, 3)} WHEN {ds} THEN {x(DS, 3)} WHEN {dsf} THEN '*' WHEN {dp} THEN '' END")
+    ref = (f"CASE WHEN {sub} THEN {x(SS, 1)} WHEN {ifs} THEN {x(L, 1)} WHEN {isvp} THEN '' WHEN {ir} THEN '' "
+           f"WHEN {isub} THEN {x(S, 1)} WHEN {ds} THEN {x(DS, 2)} WHEN {dsf} THEN '*' WHEN {sd} THEN {x(SD, 1)} WHEN {dp} THEN {x(L, 1)} END")
+    alt = (f"CASE WHEN {sub} THEN {x(SS, 3)} WHEN {ifs} THEN '' WHEN {isvp} THEN {x(L, 1)} WHEN {ir} THEN {x(IR, 3)} "
+           f"WHEN {isub} THEN {x(S, 3)} WHEN {ds} THEN {x(DS, 3)} WHEN {dsf} THEN '*' WHEN {sd} THEN {x(SD, 2)} WHEN {dp} THEN '' END")
     fs = (f"CASE WHEN {sub} THEN false WHEN {ifs} THEN true WHEN {isvp} THEN false WHEN {ir} THEN false "
-          f"WHEN {isub} THEN false WHEN {ds} THEN false WHEN {dsf} THEN true WHEN {dp} THEN contains(pc, 'fs') END")
+          f"WHEN {isub} THEN false WHEN {ds} THEN false WHEN {dsf} THEN true WHEN {sd} THEN false WHEN {dp} THEN contains(pc, 'fs') END")
     return (f"CAST({start} AS BIGINT) AS protstart, CAST({end} AS BIGINT) AS protend, {ref} AS protref, "
             f"{alt} AS protalt, {fs} AS frameshift")
 

@@ -191,28 +191,31 @@ def q_reference_join(spark, sf):
     return j.select("POS", "annotationTranscript", "gene", "ensembl_gene", F.length("mrna").cast("bigint").alias("mrna_len"))
 
 
+N_SAMPLES = 29  # samples S0..S28 of the change table; each is paired with the next
+
+
 @register(
     "reference_unmatched",
-    with_ctes(CHANGES, TRANSCRIPTS) + """,
-hs AS (SELECT DISTINCT annotationTranscript AS t FROM changes WHERE sample = 'S0'),
-ds AS (SELECT DISTINCT annotationTranscript AS t FROM changes WHERE sample = 'S1')
-SELECT ensembl_transcript AS transcript, 'no_variant' AS kind FROM transcripts
-WHERE mrna IS NOT NULL AND ensembl_transcript NOT IN (SELECT t FROM hs)
+    with_ctes(CHANGES, TRANSCRIPTS) + f""",
+hs AS (SELECT DISTINCT sample, annotationTranscript AS t FROM changes),
+ds AS (SELECT 'S' || ((CAST(substr(sample, 2) AS INT) + {N_SAMPLES - 1}) % {N_SAMPLES}) AS sample, t FROM hs),
+ref AS (SELECT 'S' || unnest(range({N_SAMPLES})) AS sample, ensembl_transcript AS t FROM transcripts WHERE mrna IS NOT NULL)
+SELECT sample, t AS transcript, 'no_variant' AS kind FROM (SELECT sample, t FROM ref EXCEPT SELECT sample, t FROM hs)
 UNION ALL
-SELECT t AS transcript, 'host_only' AS kind FROM hs WHERE t NOT IN (SELECT t FROM ds)""",
+SELECT sample, t AS transcript, 'host_only' AS kind FROM (SELECT sample, t FROM hs EXCEPT SELECT sample, t FROM ds)""",
 )
 def q_reference_unmatched(spark, sf):
-    """J2 + J4: reference transcripts without a change in the host sample
-    (S0 of the multi-sample change table; anti join), and transcripts changed
-    in the host but not in the donor (S1; set difference)."""
-    ch = CHANGES.df(spark, sf).select("annotationTranscript", "sample")
-    host = ch.filter(F.col("sample") == "S0").select(F.col("annotationTranscript").alias("t")).distinct()
-    donor = ch.filter(F.col("sample") == "S1").select(F.col("annotationTranscript").alias("t")).distinct()
-    ref = TRANSCRIPTS.df(spark, sf).filter(F.col("mrna").isNotNull())
-    unmatched = ref.join(host, ref["ensembl_transcript"] == host["t"], "left_anti").select(
-        F.col("ensembl_transcript").alias("transcript"), F.lit("no_variant").alias("kind"))
-    only = host.join(donor, "t", "left_anti").select(F.col("t").alias("transcript"), F.lit("host_only").alias("kind"))
-    return unmatched.unionByName(only)
+    """J2 + J4 for every sample as host and the next one as donor: reference
+    transcripts without a change in the host (anti join), and transcripts
+    changed in the host but not in the donor (set difference)."""
+    host = CHANGES.df(spark, sf).select("sample", F.col("annotationTranscript").alias("t")).distinct()
+    number = F.substring("sample", 2, 9).cast("int")
+    donor = host.withColumn("sample", F.concat(F.lit("S"), ((number + N_SAMPLES - 1) % N_SAMPLES).cast("string")))
+    ref = TRANSCRIPTS.df(spark, sf).filter(F.col("mrna").isNotNull()).select(
+        F.explode(F.array(*[F.lit(f"S{i}") for i in range(N_SAMPLES)])).alias("sample"), F.col("ensembl_transcript").alias("t"))
+    kinds = {"no_variant": ref.join(host, ["sample", "t"], "left_anti"), "host_only": host.join(donor, ["sample", "t"], "left_anti")}
+    parts = [df.select("sample", F.col("t").alias("transcript"), F.lit(k).alias("kind")) for k, df in kinds.items()]
+    return parts[0].unionByName(parts[1])
 
 
 @register("pair_full_outer", PAIRED_SQL + "\nSELECT * FROM paired")

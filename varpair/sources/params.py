@@ -26,6 +26,7 @@ class RunParams:
     tpm_path: str | None = None
     gvhd: bool = True
     pad: int = 10
+    keep_nonsense: bool = False  # keep changes that make or lose a stop
 
     def __post_init__(self):
         object.__setattr__(self, "host_sex", normalise_sex(self.host_sex))
