@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from . import arrays as A
 from .io import in_tasks, keyed, real_id, saved
+from .recurring import bitmap_of, may_hold
 
 SLOTS = 1 << 18
 #: Separators of tokens: every ASCII character but letters and digits.
@@ -180,7 +181,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, max_rows: i
     rows = keyed(docs)
     marks = labels.select("doc_id", (F.col("toxic") == 1).cast("int").alias("toxic")).filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).filter(usable).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marks = saved(marks, "toxic-labels")
-    known = rows.filter(usable).join(marks, "doc_id").select("text", "toxic", (1 - F.col("toxic")).alias("clean"))
+    # texts that may have a label go to the join, always dealt by doc_id: a plan that does not change with the size
+    known = may_hold(rows.filter(usable), bitmap_of(marks, "doc_id")).join(marks.hint("merge"), "doc_id").select("text", "toxic", (1 - F.col("toxic")).alias("clean"))
     corpus = slot_counts(rows.withColumn("any", F.lit(1)), ["any"])[0]
     toxic, clean = slot_counts(known, ["toxic", "clean"])
     model = ToxicityModel(np.full(SLOTS, -0.25))
