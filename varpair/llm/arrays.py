@@ -117,7 +117,14 @@ class Words:
         self.bounds = np.concatenate([[0], np.cumsum(self.counts)])
 
     def hashes(self, data: np.ndarray, seed: int = 1) -> np.ndarray:
-        return window_hashes(byte_values(seed)[data], self.starts, self.ends)
+        """Hash of every word, block by block: the sums of a long text are never all held at once."""
+        table, out, i = byte_values(seed), np.empty(len(self.starts), dtype=np.uint64), 0
+        while i < len(out):
+            base = self.starts[i]
+            j = max(int(np.searchsorted(self.starts, base + CHUNK_BYTES)), i + 1)
+            out[i:j] = window_hashes(table[data[base : self.ends[j - 1]]], self.starts[i:j] - base, self.ends[i:j] - base)
+            i = j
+        return out
 
     def windows(self, k: int) -> np.ndarray:
         """Index of the first word of every window of ``k`` words inside one row."""
@@ -174,6 +181,29 @@ def _nearest(values: np.ndarray, at: np.ndarray, width: int, step: int) -> np.nd
     return found
 
 
+def _dense_picks(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``picks`` over all values, by prefix and suffix minima of blocks of ``width``."""
+    n = len(values)
+    blocks = -(-n // width)
+    padded = np.full(blocks * width, np.iinfo(np.uint64).max, dtype=np.uint64)
+    padded[:n] = values
+    grid = padded.reshape(blocks, width)
+    place = np.arange(blocks * width).reshape(blocks, width)
+    prefix = np.minimum.accumulate(grid, axis=1)
+    prefix_at = np.maximum.accumulate(np.where(grid == prefix, place, -1), axis=1).ravel()
+    back = grid[:, ::-1]
+    suffix = np.minimum.accumulate(back, axis=1)
+    lower = np.ones_like(back, dtype=bool)
+    lower[:, 1:] = back[:, 1:] < suffix[:, :-1]
+    suffix_at = np.maximum.accumulate(np.where(lower, np.arange(width)[None, :], -1), axis=1)
+    suffix_at = (place[:, -1:] - suffix_at)[:, ::-1].ravel()
+    starts = np.arange(n - width + 1)
+    left, right = suffix_at[starts], prefix_at[starts + width - 1]
+    at = np.where(padded[right] <= padded[left], right, left)
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    return at[first], first, np.append(first[1:], len(at)) - 1
+
+
 def picks(values: np.ndarray, width: int, share: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Winnowing: the last smallest value of every ``width`` consecutive ones.
 
@@ -186,7 +216,9 @@ def picks(values: np.ndarray, width: int, share: float = 1.0) -> tuple[np.ndarra
     n = len(values)
     if n < width:
         return (np.zeros(0, dtype=np.int64),) * 3
-    at = np.flatnonzero(values < _U(int(share * (2**64 - 1)))) if share < 1 else np.arange(n)
+    if share >= 1:
+        return _dense_picks(values, width)
+    at = np.flatnonzero(values < _U(int(share * (2**64 - 1))))
     least = values[at]
     first = np.maximum(np.maximum(at - width + 1, _nearest(least, at, width, -1) + 1), 0)
     last = np.minimum(np.minimum(at, _nearest(least, at, width, 1) - width), n - width)

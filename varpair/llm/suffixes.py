@@ -28,7 +28,7 @@ SHARD_BYTES, HOT_KINDS, STRETCH = 2 << 20, 1000, 16
 
 
 def byte_shape(width: int) -> Shape:
-    return Shape(byte_units, width, max(1, min(GRAM, width // 2)), 1 / 24)
+    return Shape(byte_units, width, max(1, min(GRAM, width // 2)), 1 / 40)
 
 
 def rising(symbols: np.ndarray) -> np.ndarray:
@@ -201,15 +201,14 @@ def suffix_dedup(docs: DataFrame, width: int = 400) -> DataFrame:
     anchors = bitmap_of(runs, "anchor")
     place = lambda x: F.struct((F.col("first") + x["a"]).alias("a"), (F.col("first") + x["b"]).alias("b"))
     hits = occurrences(rows, shape, anchors).join(runs, ["anchor", "digest"]).select("doc_id", "text_key", F.transform("runs", place).alias("spans"))
-    spans = hits.groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    spans = saved(hits.groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("spans")).alias("spans")), "suffixes-spans")
+    ids = bitmap_of(spans, "doc_id")
 
     def sift(keep: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part in A.chunks(batches):
-                s = shape.segments(byte_units(part.column("text")))
-                hit = np.zeros(part.num_rows, dtype=bool)
-                hit[s["row"][has(anchors.value, s["anchor"])]] = True
-                yield part.filter(pa.array(hit == keep))
+            for batch in batches:
+                hit = has(ids.value, batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64))
+                yield batch.filter(pa.array(hit == keep))
 
         return run
 
