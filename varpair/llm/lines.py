@@ -41,8 +41,8 @@ class LineRuns:
         self.name = name or f"line_runs_{uuid.uuid4().hex[:12]}"
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: dict[int, list[str]] = {}
-        for table in spark.catalog.listTables():
-            if table.name.startswith(f"{self.name}_l"):
+        for table in spark.catalog.listTables(pattern=f"{name}_l*") if name else []:
+            if table.name.startswith(f"{name}_l"):
                 self.levels.setdefault(int(table.name[len(self.name) + 2 :].split("_")[0]), []).append(table.name)
 
     def _write(self, rows: DataFrame, level: int) -> None:
