@@ -96,6 +96,17 @@ def chunks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             at = to
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
+    """Hash of rising byte spans, block by block: the sums of a long text are never all held at once."""
+    table, out, i = byte_values(seed), np.empty(len(starts), dtype=np.uint64), 0
+    while i < len(out):
+        base = starts[i]
+        j = max(int(np.searchsorted(starts, base + CHUNK_BYTES)), i + 1)
+        out[i:j] = window_hashes(table[data[base : ends[j - 1]]], starts[i:j] - base, ends[i:j] - base)
+        i = j
+    return out
+
+
 class Words:
     """Words (maximal runs of non-separators) of many texts: byte spans and the row of each."""
 
@@ -117,14 +128,7 @@ class Words:
         self.bounds = np.concatenate([[0], np.cumsum(self.counts)])
 
     def hashes(self, data: np.ndarray, seed: int = 1) -> np.ndarray:
-        """Hash of every word, block by block: the sums of a long text are never all held at once."""
-        table, out, i = byte_values(seed), np.empty(len(self.starts), dtype=np.uint64), 0
-        while i < len(out):
-            base = self.starts[i]
-            j = max(int(np.searchsorted(self.starts, base + CHUNK_BYTES)), i + 1)
-            out[i:j] = window_hashes(table[data[base : self.ends[j - 1]]], self.starts[i:j] - base, self.ends[i:j] - base)
-            i = j
-        return out
+        return span_hashes(data, self.starts, self.ends, seed)
 
     def windows(self, k: int) -> np.ndarray:
         """Index of the first word of every window of ``k`` words inside one row."""

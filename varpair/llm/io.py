@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,10 +41,22 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: Python workers are kept for later tasks, and several share an executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def in_tasks(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``df.mapInArrow(fn, schema)`` with this package at hand on the executors."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        release_memory()
+
+    return df.mapInArrow(run, schema)
 
 
 def keyed(docs: DataFrame, carry: bool = False) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Callable
 from itertools import islice
 
 import numpy as np
@@ -18,11 +18,12 @@ class PieceMemo:
     """32-bit ids of texts whose ``separators + word`` pieces a tokenizer encodes independently of each other.
 
     New pieces are encoded many at a time, a NUL between them, if the vocabulary
-    has exactly one token with NUL (so none reaches across).  Pieces that match
-    ``plain`` may go to a ``fast`` tokenizer that agrees on them.
+    has exactly one token with NUL (so none reaches across).  Pieces without a byte
+    that ``plain`` flags, but for one leading blank or line break, may go to a
+    ``fast`` tokenizer that agrees on them.
     """
 
-    def __init__(self, tokenizer, name: str, separators: np.ndarray = A.SPACE, fast=None, plain: re.Pattern | None = None, limit: int = 500_000, block: int = 200):
+    def __init__(self, tokenizer, name: str, separators: np.ndarray = A.SPACE, fast=None, plain: Callable[[np.ndarray], np.ndarray] | None = None, limit: int = 500_000, block: int = 200):
         self.tokenizer, self.fast, self.plain = tokenizer, fast, plain
         self.separators, self.limit, self.block = separators, limit, block
         self.known: dict[bytes, bytes] = _KNOWN.setdefault(name, {})
@@ -33,26 +34,21 @@ class PieceMemo:
     def _ids(self, tokenizer, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, dtype="<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[bytes]) -> None:
-        texts = [p.decode() for p in new]
-        alone, plain, rest = [], [], []
-        for p, t in zip(new, texts):
-            if self.mark is None or SEPARATOR in t or not t.strip():
-                alone.append((p, t))
-            elif self.fast is not None and self.plain.fullmatch(t):
-                plain.append((p, t))
-            else:
-                rest.append((p, t))
-        self.known.update(zip((p for p, _ in alone), (x.tobytes() for x in self._ids(self.tokenizer, [t for _, t in alone]))))
-        for tokenizer, todo in ((self.fast, plain), (self.tokenizer, rest)):
+    def _learn(self, new: list[bytes], plain: list[bool]) -> None:
+        fast = [p for p, x in zip(new, plain) if x]
+        rest = [p for p, x in zip(new, plain) if not x]
+        alone = [p for p in rest if self.mark is None or b"\0" in p or not p.decode().strip()]
+        if alone:
+            self.known.update(zip(alone, (x.tobytes() for x in self._ids(self.tokenizer, [p.decode() for p in alone]))))
+            rest = [p for p in rest if p not in self.known]
+        for tokenizer, todo in ((self.fast, fast), (self.tokenizer, rest)):
             groups = [todo[i : i + self.block] for i in range(0, len(todo), self.block)]
             if not groups:
                 continue
-            for group, ids in zip(groups, self._ids(tokenizer, [SEPARATOR.join([t for _, t in g]) + SEPARATOR for g in groups])):
-                raw, at = ids.tobytes(), 0
-                for (piece, _), to in zip(group, np.flatnonzero(ids == self.mark).tolist()):
-                    self.known[piece] = raw[4 * at : 4 * to]
-                    at = to + 1
+            for group, ids in zip(groups, self._ids(tokenizer, [(b"\0".join(g) + b"\0").decode() for g in groups])):
+                ends = np.flatnonzero(ids == self.mark) * 4
+                raw = ids.tobytes()
+                self.known.update(zip(group, map(raw.__getitem__, map(slice, [0, *(ends[:-1] + 4).tolist()], ends.tolist()))))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the bounds of each text in them."""
@@ -67,14 +63,21 @@ class PieceMemo:
         starts, ends, row = np.concatenate([starts, last[tail]]), np.concatenate([words.ends, offsets[1:][tail]]), np.concatenate([words.row, tail])
         order = np.argsort(starts, kind="stable") if len(tail) else slice(None)
         starts, ends, row = starts[order], ends[order], row[order]
-        hashes = A.window_hashes(A.byte_values()[data], starts, ends)
+        hashes = A.span_hashes(data, starts, ends)
         _, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         raw = data.tobytes()
-        pieces = [raw[s:e] for s, e in zip(starts[where].tolist(), ends[where].tolist())]
+        starts, ends = starts[where], ends[where]
+        pieces = [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist())]
         known = self.known
-        new = [p for p in pieces if p not in known]
+        new = [i for i, p in enumerate(pieces) if p not in known]
         if new:
-            self._learn(new)
+            plain = np.zeros(len(new), dtype=bool)
+            if self.fast is not None and self.mark is not None:
+                odd = np.zeros(len(data) + 1, dtype=np.int64)
+                np.cumsum(self.plain(data), out=odd[1:])
+                lead = np.isin(data[starts[new]], (0x20, 0x0A))
+                plain = (odd[ends[new]] == odd[starts[new] + lead]) & (ends[new] - starts[new] > lead)
+            self._learn([pieces[i] for i in new], plain.tolist())
         coded = [known[p] for p in pieces]
         size = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // 4
         flat = np.frombuffer(b"".join(coded), dtype="<u4")

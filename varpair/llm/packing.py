@@ -15,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,21 +25,49 @@ from .memo import PieceMemo
 
 MAX_LENGTH = 1024
 #: Spaces on which an ASCII split and the tokenizer's differ; texts with them go to the tokenizer whole.
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_PLAIN = re.compile("[ \n]?[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f.,;:!?]+")
+_ODD_SPACE = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: Bytes of letters up to U+024F, digits and stops: the tail of a piece that needs no word split.
+_TAIL = np.zeros(256, dtype=bool)
+_TAIL[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789.,;:!?")] = True
+_TAIL[0x80:0xC0] = _TAIL[0xC3:0xCA] = True
 _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids array<int>"
 
 
+def _not_plain(data: np.ndarray) -> np.ndarray:
+    """Bytes that a piece without word split must not have; the signs U+00D7 and U+00F7 are no letters."""
+    out = ~_TAIL[data]
+    sign = np.flatnonzero((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)))
+    out[sign] = out[sign + 1] = True
+    return out
+
+
+def _byte_letters() -> dict[str, int]:
+    """Byte of each character of byte-level vocabularies: printable ones stand for themselves, the rest follow from U+0100."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def _joins_kinds(vocabulary: list[str]) -> bool:
+    """Does a token of plain bytes join a line break, letters, digits or stops with each other?"""
+    letters = _byte_letters()
+    kind = {b: "d" if 48 <= b <= 57 else "s" if b in b".,;:!?" else "\n" if b == 10 else "l" for b in [*np.flatnonzero(_TAIL).tolist(), 10]}
+    for token in vocabulary:
+        raw = [letters.get(c, -1) for c in token]
+        kinds = {kind.get(b) for b in (raw[1:] if raw[:1] == [32] else raw)}
+        if None not in kinds and len(kinds) > 1:
+            return True
+    return False
+
+
 @lru_cache(maxsize=1)
 def _tokenizers(path: str):
-    """The tokenizer, and one without its word split if no token joins letters, digits and stops."""
+    """The tokenizer, and one without its word split if no token joins what the split keeps apart in plain pieces."""
     from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer, fast = Tokenizer.from_file(path), Tokenizer.from_file(path)
     fast.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    kinds = ("[A-Za-z]|[^\x00-\x7f\u0120\u010a]", "[0-9]", "[.,;:!?]")
-    mixed = any(sum(bool(re.search(k, t)) for k in kinds) > 1 or re.search("(?<=.)[\u0120\u010a]|\u010a.", t) and re.search("[A-Za-z0-9.,;:!?]", t) for t in tokenizer.get_vocab())
-    return tokenizer, None if mixed else fast
+    return tokenizer, None if _joins_kinds(list(tokenizer.get_vocab())) else fast
 
 
 def byte_bpe_encoder(path: str) -> Callable[[pa.Array], list[np.ndarray]]:
@@ -50,13 +79,14 @@ def byte_bpe_encoder(path: str) -> Callable[[pa.Array], list[np.ndarray]]:
     """
     tokenizer, fast = _tokenizers(path)
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    odd = re.compile("|".join([_ODD_SPACE.pattern, *map(re.escape, special)]))
-    memo = PieceMemo(tokenizer, path, fast=fast, plain=_PLAIN)
+    odd = "|".join([_ODD_SPACE, *map(re.escape, special)])
+    memo = PieceMemo(tokenizer, path, fast=fast, plain=_not_plain)
 
     def encode(texts: pa.Array) -> list[np.ndarray]:
         ids, bounds = memo.encode(*A.text_bytes(texts))
         out = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-        whole = [(i, t) for i, t in enumerate(texts.to_pylist()) if t and odd.search(t)]
+        found = np.flatnonzero(pc.fill_null(pc.match_substring_regex(texts, odd), False).to_numpy(zero_copy_only=False))
+        whole = list(zip(found.tolist(), texts.take(pa.array(found)).to_pylist()))
         for (i, _), e in zip(whole, tokenizer.encode_batch_fast([t for _, t in whole], add_special_tokens=False)):
             out[i] = np.asarray(e.ids, dtype="<u4")
         return out
@@ -83,7 +113,7 @@ def packed_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 0, longest
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = byte_bpe_encoder(tokenizer_path)
         end = np.asarray([end_id], dtype="<u4")
-        for part in A.chunks(batches, limit=4 * A.CHUNK_BYTES):
+        for part in A.chunks(batches, limit=6 * A.CHUNK_BYTES):
             out: list[tuple] = []
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode(part.column("text"))):
                 ids = np.concatenate([ids, end])

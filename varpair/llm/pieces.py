@@ -8,6 +8,7 @@ that their scores imply (a better score is merged earlier).
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -180,10 +181,10 @@ def _codec(path: str) -> PieceCodec:
 
 
 def piece_tokens(docs: DataFrame, model_path: str, threads: int = 2, with_ids: bool = True) -> DataFrame:
-    """doc_id, n_tokens, ids, decoded text, and whether ids and text agree with the sentencepiece library.
+    """doc_id, n_tokens, ids, ids_sha256 (of little-endian 32-bit ids), decoded text, and parity with the sentencepiece library.
 
     Null text counts as empty (no ids, empty decoded text); repeated rows are
-    answered each.  Every document is verified.
+    answered each.  Every document is verified whole, ids and text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,16 +193,22 @@ def piece_tokens(docs: DataFrame, model_path: str, threads: int = 2, with_ids: b
         import sentencepiece
 
         codec, library = _codec(model_path), sentencepiece.SentencePieceProcessor(model_file=model_path)
-        for part in A.chunks(batches):
+        for part in A.chunks(batches, limit=4 * A.CHUNK_BYTES):
             texts = [t or "" for t in part.column("text").to_pylist()]
-            ids = [x.view("<i4") for x in codec.encode(part.column("text"))]
+            ids = codec.encode(part.column("text"))
             back = codec.decode(ids)
-            agree = []
-            for t, i, b, r in zip(texts, ids, back, library.encode(texts, num_threads=threads)):
-                agree.append(r == i.tolist() and library.decode(r) == b)
+            theirs = library.encode(texts, num_threads=threads)
+            agree = [r == i.tolist() and x == b for r, x, i, b in zip(theirs, library.decode(theirs, num_threads=threads), ids, back)]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([len(i) for i in ids], pa.int64()), pa.array(ids if with_ids else [None] * len(ids), pa.list_(pa.int32())), pa.array(back, pa.string()), pa.array(agree, pa.bool_())],
-                names=["doc_id", "n_tokens", "ids", "decoded", "parity"],
+                [
+                    part.column("doc_id"),
+                    pa.array([len(i) for i in ids], pa.int64()),
+                    pa.array([i.view("<i4") for i in ids] if with_ids else [None] * len(ids), pa.list_(pa.int32())),
+                    pa.array([hashlib.sha256(i.tobytes()).hexdigest() for i in ids], pa.string()),
+                    pa.array(back, pa.string()),
+                    pa.array(agree, pa.bool_()),
+                ],
+                names=["doc_id", "n_tokens", "ids", "ids_sha256", "decoded", "parity"],
             )
 
-    return in_tasks(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, n_tokens long, ids array<int>, decoded string, parity boolean")
+    return in_tasks(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded string, parity boolean")

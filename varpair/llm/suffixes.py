@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays as A
-from .io import in_tasks, keyed, real_id, saved, ship
+from .io import in_tasks, keyed, real_id, release_memory, saved, ship
 from .recurring import Shape, bitmap_of, byte_units, distinct_segments, has, occurrences
 
 GRAM = 64
@@ -137,6 +137,7 @@ def _sorted_runs(rows: DataFrame, width: int, shards: int) -> DataFrame:
         keep = n[row] == 1
         a, b, row = a[keep], b[keep], row[keep]
         base = place[row] - begins[row]
+        release_memory()
         return pa.table({"anchor": anchor[row], "digest": digest[row], "a": pa.array((a + base).astype(np.int32)), "b": pa.array((b - 1 + base).astype(np.int32))})
 
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("deal"), F.lit(shards)).cast("int")).select("shard", "anchor", "digest", "n", "place", "content")
