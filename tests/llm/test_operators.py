@@ -299,6 +299,18 @@ def test_packing(docs, table, empty):
     assert packing.packed_pieces(empty, tokenizer_path("byte_bpe_50k.json")).count() == 0
 
 
+def test_packing_of_texts_that_start_with_a_contraction():
+    """Pieces learned in one batch after others get the ids they have alone."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    heads = ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d", "'tis", "'twas", "'s avonds", "''tis", "(it's)", "\"'t", "-'d"]
+    texts = [f"zq{i}-first{i}! then" for i in range(20)] + heads + [f"{h}zx" for h in heads] + [f" {h}" for h in heads] + [f"\n{h}  {h}" for h in heads]
+    found = packing.byte_bpe_encoder(path)(pa.array(texts))
+    assert [x.tolist() for x in found] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_pieces(docs, table, empty):
     import sentencepiece
 

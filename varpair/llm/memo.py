@@ -14,11 +14,18 @@ SEPARATOR = "\0"
 _KNOWN: dict[str, dict[bytes, bytes]] = {}
 
 
+def _apart(piece: str) -> bool:
+    """Is this piece blank, or does it begin with neither a blank nor a letter or digit?"""
+    return not piece.strip() or not (piece[0].isspace() or piece[0].isalnum())
+
+
 class PieceMemo:
     """32-bit ids of texts whose ``separators + word`` pieces a tokenizer encodes independently of each other.
 
     New pieces are encoded many at a time, a NUL between them, if the vocabulary
-    has exactly one token with NUL (so none reaches across).  Pieces without a byte
+    has exactly one token with NUL (so none reaches across).  A piece that begins
+    with a sign is encoded alone: after a NUL the word split would join the sign
+    to it (``'s`` is no contraction then).  Pieces without a byte
     that ``plain`` flags, but for one leading blank or line break, may go to a
     ``fast`` tokenizer that agrees on them.
     """
@@ -37,7 +44,7 @@ class PieceMemo:
     def _learn(self, new: list[bytes], plain: list[bool]) -> None:
         fast = [p for p, x in zip(new, plain) if x]
         rest = [p for p, x in zip(new, plain) if not x]
-        alone = [p for p in rest if self.mark is None or b"\0" in p or not p.decode().strip()]
+        alone = [p for p in rest if self.mark is None or b"\0" in p or _apart(p.decode())]
         if alone:
             self.known.update(zip(alone, (x.tobytes() for x in self._ids(self.tokenizer, [p.decode() for p in alone]))))
             rest = [p for p in rest if p not in self.known]
