@@ -200,6 +200,22 @@ def test_jaccard(docs, table, k, num):
     assert rows_of(found, "doc_id", "n_shingles", "component_id") == brute_groups(table, k, num, 100)
 
 
+def test_jaccard_of_different_texts_under_null_and_repeated_ids(spark):
+    """Null-id texts and texts of one id link, stay apart and are kept by their sets alone."""
+    rng, words = random.Random(9), _vocabulary(10)
+    prose = lambda n: [rng.choice(words) for _ in range(n)]
+    near = lambda w, at: " ".join(w[:at] + ["changed"] + w[at + 1 :])
+    a, b, c, d, e = (prose(200) for _ in range(5))
+    table = [(None, near(a, 5)), (None, near(a, 190)), (None, " ".join(b)), (8, near(b, 100)), (None, " ".join(c)), (None, "")]
+    table += [(5, " ".join(d)), (5, " ".join(e)), (2, near(d, 50)), (9, near(e, 60)), (5, near(e, 150)), (5, near(a, 120)), (None, " ".join(prose(80)))]
+    df = spark.createDataFrame(table, "doc_id long, text string").repartition(4)
+    texts = dict(enumerate(t for _, t in table))
+    assert rows_of(jaccard.jaccard_groups(df, 3, 90, 100), "doc_id", "n_shingles", "component_id") == brute_groups(table, 3, 90, 100)
+    kept = [(r["doc_id"], r["text"]) for r in jaccard.keep_one(df, 3, 90, 100).collect()]
+    assert {(5, texts[11]), (8, texts[3]), (None, texts[4]), (None, ""), (2, texts[8]), table[12]} <= set(kept)
+    assert len(kept) == 7 and sum(k in (table[7], table[10]) for k in kept) == 1
+
+
 def test_jaccard_prefixes_lengthen_over_common_shingles(spark, empty, monkeypatch):
     """Documents of common shingles only: every link is found whatever the extension."""
     rng, words = random.Random(6), _vocabulary(5, 60)
