@@ -385,6 +385,23 @@ def test_language(spark, docs, empty):
     assert langid.predict_language(empty, model).count() == 0
 
 
+def test_language_learns_every_labelled_language(spark):
+    """More languages than a full sample of each would allow, the rarest with one document, null ids among them."""
+    rng = random.Random(5)
+    names = [f"l{i:02d}" for i in range(70)]
+    words = {x: ["".join(rng.choice(letters) for _ in range(5)) for _ in range(12)] for x in names for letters in [rng.sample("abcdefghijklmnopqrstuvwxyz", 5)]}
+    rows = [(x, " ".join(rng.choice(words[x]) for _ in range(40))) for i, x in enumerate(names) for _ in range(1 if i == 69 else 12 - i // 10)]
+    df = spark.createDataFrame([(None if i % 9 == 0 else i, t, x) for i, (x, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    assert {r["lang"] for r in langid.training_sample(df, F.lit(True), 500, 32_000).select("lang").distinct().collect()} == set(names)
+    few = [r["lang"] for r in langid.training_sample(df, F.lit(True), 2, 100).collect()]
+    assert set(few) == set(names) and len(few) < len(rows) // 2
+    model = langid.fit_language_model(df, F.lit(True))
+    assert model.langs == names
+    found = langid.predict_language(df, model).collect()
+    assert {r["lang"] for r in found if r["_lang"] == r["lang"]} >= set(names[:69])
+    assert sum(r["_lang"] == r["lang"] for r in found) >= 0.95 * len(rows)
+
+
 def brute_segments(values):
     """Maximal scoring segments by definition: the best segment first, then on both sides of it."""
     best = max(((sum(values[i:j]), -(j - i), i, j) for i in range(len(values)) for j in range(i + 1, len(values) + 1)), default=(0, 0, 0, 0))

@@ -24,6 +24,8 @@ from .io import in_tasks
 BUCKETS = 1 << 13
 GRAMS = (2, 3, 4)
 UNKNOWN = "und"
+#: Sampled documents of a language, however many languages there are.
+LEAST_PER_LANG = 20
 
 _BLANK = A.LOWER.copy()
 _BLANK[[i for i in range(128) if not chr(i).isalpha()]] = 32
@@ -72,36 +74,50 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def training_sample(docs: DataFrame, usable: Column, per_lang: int, max_langs: int) -> DataFrame:
-    """About ``per_lang`` labelled documents of each of the ``max_langs`` commonest languages, chosen by a hash of doc_id."""
-    labelled = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64(F.lit(11), "doc_id").alias("rank"))
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+def training_sample(docs: DataFrame, usable: Column, per_lang: int, max_rows: int) -> DataFrame:
+    """Labelled documents of every language, chosen by a hash of doc_id (of the text where that is null).
+
+    About ``per_lang`` of each; where the languages are so many that this passes
+    ``max_rows``, fewer of each, but about ``LEAST_PER_LANG``.  The document with
+    the smallest hash of its language is always among them.
+    """
+    number = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+    labelled = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64(F.lit(11), number).alias("rank"))
+    place = F.pmod("rank", F.lit(1 << 32))
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("count"), F.min(place).alias("least")).collect()
     if not sizes:
         return labelled.limit(0)
-    share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, per_lang / r["count"])))])[F.col("lang")]
-    return labelled.filter(F.pmod("rank", F.lit(1 << 32)) < share * float(1 << 32))
+    per_lang = min(per_lang, max(LEAST_PER_LANG, max_rows // len(sizes)))
+    upto = [(r["lang"], max(int(min(1.0, per_lang / r["count"]) * (1 << 32)), r["least"] + 1)) for r in sizes]
+    chosen = docs.sparkSession.createDataFrame(upto, "lang string, upto long")
+    return labelled.join(F.broadcast(chosen), "lang").filter(place < F.col("upto")).drop("upto")
 
 
-def fit_language_model(docs: DataFrame, usable: Column, per_lang: int = 500, max_langs: int = 64, dim: int = 16, epochs: int = 12, rate: float = 8.0, reject_share: float = 0.002, seed: int = 3) -> LanguageModel | None:
-    """Train on a bounded sample (``per_lang`` * ``max_langs`` documents, each at most ``BUCKETS`` counts).
+def fit_language_model(docs: DataFrame, usable: Column, per_lang: int = 500, max_rows: int = 32_000, dim: int = 16, epochs: int = 12, rate: float = 8.0, reject_share: float = 0.002, seed: int = 3) -> LanguageModel | None:
+    """Train on a bounded sample of every language (about ``max_rows`` documents, each at most ``BUCKETS`` counts).
 
-    A fifth of the sample is held back: the temperature is the one with the
+    A fifth of each language's sample is held back: the temperature is the one with the
     least log loss there, and the rejection threshold the confidence that all but
     ``reject_share`` of its documents reach.  None without labelled documents.
     """
-    rows = in_tasks(training_sample(docs, usable, per_lang, max_langs), _features, "lang string, rank long, slots array<int>, counts array<float>").toArrow()
+    rows = in_tasks(training_sample(docs, usable, per_lang, max_rows), _features, "lang string, rank long, slots array<int>, counts array<float>").toArrow()
     if not rows.num_rows:
         return None
     rows = rows.take(pc.sort_indices(rows, sort_keys=[("rank", "ascending"), ("lang", "ascending")]))
     langs = sorted(set(rows["lang"].to_pylist()))
-    label = np.array([langs.index(x) for x in rows["lang"].to_pylist()])
+    label = pc.index_in(rows["lang"], pa.array(langs)).to_numpy()
     slots, counts = ([np.asarray(x.values) for x in rows[c]] for c in ("slots", "counts"))
     keep = [i for i in range(len(label)) if len(slots[i])]
     rng = np.random.default_rng(seed)
     embedding = rng.normal(0, 1 / np.sqrt(dim), (BUCKETS, dim)).astype(np.float32)
     weights, bias = np.zeros((dim, len(langs)), np.float32), np.zeros(len(langs), np.float32)
-    held = [i for j, i in enumerate(keep) if j % 5 == 4] or keep
-    fit = [i for j, i in enumerate(keep) if j % 5 != 4]
+    seen: dict[int, int] = {}
+    turn = []  # place of each document among those of its language
+    for i in keep:
+        turn.append(seen.get(label[i], 0))
+        seen[label[i]] = turn[-1] + 1
+    held = [i for j, i in zip(turn, keep) if j % 5 == 4] or keep
+    fit = [i for j, i in zip(turn, keep) if j % 5 != 4]
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
         for i in rng.permutation(fit):
