@@ -125,6 +125,33 @@ def test_quality_thresholds_follow_groups_and_merge(spark):
     assert abs(q["q"] - 750) <= 0.02 * 750 and q["n_docs"] == 1000
 
 
+def test_quality_rules_reject_outliers_below_the_base_limits(spark):
+    """Every rule by itself, in a group where its values are rare; what is usual in a group is kept there."""
+    rng, words = random.Random(7), [w for w in _vocabulary(8, 900) if len(w.encode()) == len(w)]
+    some = lambda n, at=words: rng.sample(at, n)
+    long, short = [w for w in words if len(w) >= 8], [w for w in words if len(w) <= 3]
+    one_line = lambda w, dup: "\n".join(w[:60] + [x for i in range(dup) for x in (w[60 + i], w[7 * i])])
+    signed = lambda w, every: " ".join(x + "##" * (i % every == 0) for i, x in enumerate(w))
+    twice = some(12)
+    odd = {
+        "symbol_share": signed(some(80), 5),
+        "dup_line_share": one_line(some(80), 4),
+        "repeat_share": " ".join(some(30) + twice + some(26) + twice),
+        "long": " ".join(rng.choice(long) for _ in range(90)),
+        "short": " ".join(rng.choice(short) for _ in range(90)),
+    }
+    prose = [" ".join(some(80)) for _ in range(300)]
+    fine = [one_line(some(80), 1), " ".join(some(70)) + " #"]
+    code = [signed(some(80), rng.choice((4, 5, 6))) for _ in range(300)]
+    texts = [*((t, "prose") for t in [*prose, *fine, *odd.values()]), *((t, "code") for t in code)]
+    df = spark.createDataFrame([(i, t, "en", s) for i, (t, s) in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    rows = {r["doc_id"]: r for r in quality.quality_rules(df).collect()}
+    assert not any(r["base_failed"] for r in rows.values())
+    assert {k: rows[302 + i]["kept"] for i, k in enumerate(odd)} == dict.fromkeys(odd, False)
+    assert rows[303]["dup_line_share"] == 4 / 68 and rows[303]["repeat_share"] == 0 == rows[302]["repeat_share"]
+    assert all(r["kept"] for i, r in rows.items() if not 302 <= i < 307)
+
+
 def brute_lines(table):
     holders = collections.defaultdict(set)
     key = lambda x: lower(x.strip(" \t\n\x0b\x0c\r"))

@@ -22,19 +22,20 @@ from pyspark.sql import functions as F
 from . import arrays as A
 from .io import in_tasks, saved
 
-#: Rule values and the smallest spread each is given; those whose low values count as odd too.
-RULES = {"symbol_share": 0.015, "dup_line_share": 0.05, "repeat_share": 0.1, "word_length": 0.5}
+#: Rule values, what each is a share of, and how much of that a single event makes (a sign, a line, a
+#: 3-word window found twice); those whose low values count as odd too.
+RULES = {"symbol_share": ("word_chars", 1), "dup_line_share": ("n_lines", 1), "repeat_share": ("n_words", 6), "word_length": ("n_words", 0)}
 TWO_SIDED = ("word_length",)
 GAMMA = 1.02
 TINY = 1e-4
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
-_SCHEMA = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+_SCHEMA = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
 
 
 def text_counts(col: pa.Array) -> dict[str, np.ndarray]:
-    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of each text."""
+    """n_words, word_chars, n_symbols, n_lines (not blank), n_dup_lines and n_repeat_words of each text."""
     data, offsets = A.text_bytes(col)
     n = len(offsets) - 1
     words = A.Words(data, offsets)
@@ -59,6 +60,7 @@ def text_counts(col: pa.Array) -> dict[str, np.ndarray]:
         "n_words": words.counts.astype(np.int64),
         "word_chars": A.sums_by_row(~space & ((data & 0xC0) != 0x80), offsets),
         "n_symbols": A.sums_by_row(_SYMBOL[data], offsets),
+        "n_lines": np.bincount(row, minlength=n).astype(np.int64),
         "n_dup_lines": np.bincount(row[later], minlength=n).astype(np.int64),
         "n_repeat_words": np.bincount(words.row[repeated], minlength=n).astype(np.int64),
     }
@@ -79,7 +81,7 @@ def measured(docs: DataFrame) -> DataFrame:
         "*",
         ((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).alias("base_failed"),
         share("n_symbols", "word_chars").alias("symbol_share"),
-        share("n_dup_lines", "n_words").alias("dup_line_share"),
+        share("n_dup_lines", "n_lines").alias("dup_line_share"),
         share("n_repeat_words", "n_words").alias("repeat_share"),
         share("word_chars", "n_words").alias("word_length"),
     )
@@ -110,10 +112,13 @@ def quantiles(sketch: DataFrame, keys: list[str], at: dict[str, float], gamma: f
 def thresholds(rows: DataFrame, min_docs: int = 200, reach: float = 4.0, gamma: float = GAMMA) -> DataFrame:
     """Per (lang, source): the lowest and highest accepted value of each rule, one column each.
 
-    A value is odd beyond ``reach`` times the spread (quartile distance, at
-    least the rule's own floor) from the quartiles of its group.
+    A value is odd beyond ``reach`` times the tail's spread (the distance of the
+    outer tenth from the median of the group, at least a bucket of the sketch) from
+    the outer tenth.  Odd documents move the fence only when they are a tenth of
+    the group, so a few per cent of them do not hide behind themselves as they
+    would in an outermost quantile.
     """
-    at = {"q25": 0.25, "q75": 0.75}
+    at = {"q10": 0.1, "q50": 0.5, "q90": 0.9}
     own = saved(sketches(rows, gamma), "quality-sketch")
     fine = quantiles(own, ["lang", "source"], at, gamma)
     by_lang = quantiles(merged(own, "lang"), ["lang"], at, gamma)
@@ -122,9 +127,8 @@ def thresholds(rows: DataFrame, min_docs: int = 200, reach: float = 4.0, gamma:
     a, b, c = fine, rename(by_lang, "l"), rename(total, "t")
     joined = a.join(b, (a["rule"] == b["rule"]) & a["lang"].eqNullSafe(b["l_lang"])).drop(b["rule"]).join(c, "rule")
     pick = lambda x: F.when(F.col("n_docs") >= min_docs, F.col(x)).when(F.col("l_n_docs") >= min_docs, F.col(f"l_{x}")).otherwise(F.col(f"t_{x}"))
-    floor = F.create_map(*[F.lit(x) for kv in RULES.items() for x in kv])[F.col("rule")]
-    spread = F.greatest(pick("q75") - pick("q25"), floor) * reach
-    bounds = joined.select("lang", "source", "rule", (pick("q25") - spread).alias("lo"), (pick("q75") + spread).alias("hi"))
+    spread = lambda outer: reach * F.greatest(F.abs(outer - pick("q50")), outer * (gamma - 1), F.lit(TINY))
+    bounds = joined.select("lang", "source", "rule", (pick("q10") - spread(pick("q10"))).alias("lo"), (pick("q90") + spread(pick("q90"))).alias("hi"))
     one = lambda r, x: F.max(F.when(F.col("rule") == r, F.col(x))).alias(f"{x}_{r}")
     return bounds.groupBy("lang", "source").agg(*[one(r, x) for r in RULES for x in ("lo", "hi")])
 
@@ -133,16 +137,17 @@ def quality_rules(docs: DataFrame, min_docs: int = 200, reach: float = 4.0) -> D
     """Score every document and filter it by the thresholds of its language and source.
 
     Null text counts as empty (no words, ``base_failed``); null lang or source
-    form groups of their own.  Repeated rows are judged each.  Columns: doc_id,
-    the five counts, base_failed, the rule values, kept.
+    form groups of their own.  Repeated rows are judged each.  A share is odd if
+    it is so without a single event too: one repeated line of a short text is no
+    tail.  Columns: doc_id, five counts, base_failed, the rule values, kept.
     """
     rows = saved(measured(docs), "quality-rows")
     limits = thresholds(rows.filter(~F.col("base_failed")), min_docs, reach).withColumnsRenamed({"lang": "_lang", "source": "_source"})
     odd = F.lit(False)
-    for rule in RULES:
-        odd = odd | (F.col(rule) > F.coalesce(F.col(f"hi_{rule}"), F.lit(float("inf"))))
+    for rule, (of, event) in RULES.items():
+        odd = odd | F.coalesce((F.col(rule) - F.col(f"hi_{rule}")) * F.col(of) > event, F.lit(False))
         if rule in TWO_SIDED:
-            odd = odd | (F.col(rule) < F.coalesce(F.col(f"lo_{rule}"), F.lit(float("-inf"))))
+            odd = odd | F.coalesce(F.col(rule) < F.col(f"lo_{rule}"), F.lit(False))
     joined = rows.join(limits, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return joined.select("doc_id", *counts, "base_failed", (~F.col("base_failed") & ~odd).alias("kept"), *RULES)
