@@ -310,6 +310,12 @@ def test_suffixes(docs, table, width, hot, stretch, monkeypatch):
     assert found == want
 
 
+def test_crowded_windows_of_equal_core_and_other_bytes_do_not_recur(spark):
+    rows = [(1, 10, 1, 0, 7, b"aaaa"), (1, 11, 1, 3, 7, b"bbbb"), (1, 12, 1, 5, 8, b"cccc"), (1, 13, 1, 2, 8, b"cccc"), (1, 14, 2, 1, 9, b"dddd"), (1, 15, 1, 4, 9, b"dddd")]
+    single = spark.createDataFrame([(*r[:5], bytearray(r[5])) for r in rows], "anchor long, digest long, n long, place int, core long, content binary")
+    assert rows_of(suffixes._counted_windows(single), "digest", "a", "b") == {(12, 5, 5): 1, (13, 2, 2): 1, (15, 4, 4): 1}
+
+
 def test_two_stage_sort_orders_suffixes():
     rng = random.Random(1)
     for letters in (b"ab", b"ab\0\xff", b"abcdefg"):

@@ -144,6 +144,13 @@ def _sorted_runs(rows: DataFrame, width: int, shards: int) -> DataFrame:
     return dealt.groupBy("shard").applyInArrow(sort, "anchor long, digest long, a int, b int")
 
 
+def _counted_windows(single: DataFrame) -> DataFrame:
+    """anchor, digest, a, b: the single windows of segments found once that recur, by two independent 64-bit hashes."""
+    single = single.withColumn("check", F.xxhash64("content")).drop("content")
+    pairs = single.groupBy("core", "check").agg(F.sum("n").alias("_n")).filter("_n > 1").drop("_n")
+    return single.filter("n = 1").join(pairs, ["core", "check"]).select("anchor", "digest", F.col("place").alias("a"), F.col("place").alias("b"))
+
+
 def recurring_runs(segments: DataFrame, width: int, gram: int, shard_bytes: int = SHARD_BYTES, hot_kinds: int = HOT_KINDS, stretch: int = STRETCH) -> DataFrame:
     """anchor, digest, runs: recurring window starts of every distinct segment that has any."""
     ship(segments.sparkSession)
@@ -154,11 +161,9 @@ def recurring_runs(segments: DataFrame, width: int, gram: int, shard_bytes: int
     # stretches that many kinds share are down to single windows: these are equal or not, and are counted
     crowded = pieces.groupBy("core").agg(F.count("*").alias("_n")).filter(F.col("_n") >= hot_kinds).drop("_n")
     single = _stretches(pieces.join(crowded, "core", "left_semi"), width, gram, 1)
-    pairs = single.groupBy("core").agg(F.sum("n").alias("_n")).filter("_n > 1").drop("_n")
-    counted = single.filter("n = 1").join(pairs, "core").select("anchor", "digest", F.col("place").alias("a"), F.col("place").alias("b"))
     dealt = plain.unionByName(pieces.join(crowded, "core", "left_anti").select("anchor", "digest", "n", "place", F.col("core").alias("deal"), "content"))
     total = dealt.agg(F.sum(F.octet_length("content"))).first()[0] or 0
-    found = whole.union(_sorted_runs(dealt, width, max(1, -(-total // shard_bytes)))).union(counted)
+    found = whole.union(_sorted_runs(dealt, width, max(1, -(-total // shard_bytes)))).union(_counted_windows(single))
     return found.groupBy("anchor", "digest").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
 
 
