@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, jaccard, langid, lines, packing, phrases, pieces, quality, suffixes, toxicity
+from . import bytebpe, conversations, exact, interactions, jaccard, langid, lines, packing, phrases, pieces, quality, suffixes, toxicity
 from .io import documents, real_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,102 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Power-of-two pieces of every document."""
     found = packing.packed_pieces(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), with_ids=False)
     return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query(r"""
+WITH named AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         coalesce(doc_id, 9223372036854775807) AS id FROM documents),
+marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT n.part, coalesce(m.good, 0) AS good, coalesce(m.toxic, 0) AS toxic,
+         concat(CASE WHEN len(words) < 50 THEN 'A' ELSE '' END,
+                CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END,
+                CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END,
+                CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END,
+                CASE WHEN id > min(id) OVER (PARTITION BY text) THEN 'E' ELSE '' END) AS fails
+  FROM named n LEFT JOIN marks m ON n.doc_id = m.doc_id),
+counted AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, fails),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+           WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+ranked AS (SELECT c.*, o.filter_order, coalesce(list_min(list_transform(string_split(nullif(c.fails, ''), ''), lambda f: instr(o.filter_order, f))), 9) AS gone FROM counted c, orders o),
+steps AS (SELECT unnest([1, 2, 3, 4, 5]) AS step),
+cells AS (
+  SELECT r.part, r.filter_order, s.step, substr(r.filter_order, s.step, 1) AS filter,
+         coalesce(sum(n) FILTER (gone > step), 0) AS kept, coalesce(sum(n) FILTER (gone = step), 0) AS removed,
+         coalesce(sum(n) FILTER (gone < step AND contains(fails, substr(filter_order, step, 1))), 0) AS redundant,
+         coalesce(sum(n) FILTER (fails = substr(filter_order, step, 1)), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (gone = step), 0) AS good_lost, coalesce(sum(toxic) FILTER (gone = step), 0) AS toxic_lost
+  FROM ranked r, steps s GROUP BY r.part, r.filter_order, s.step)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+       good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley
+FROM cells""")
+def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removals of five filters under every order, by source."""
+    return interactions.filter_interactions(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query()
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document, and the bytes they decode to."""
+    found = bytebpe.encoded(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), with_ids=False)
+    return found.select("doc_id", "n_tokens", "n_split", "ids_sha256", "decoded_sha256")
+
+
+def _repair_sql() -> str:
+    """Backward recursion over the turns; v holds, for the states nothing, s, u, a, the best (cost, audit, lines) of what follows."""
+    wanted, role = (3, 3, 4, 3), {3: "user", 4: "assistant"}
+
+    def option(cost: str, edit: str, line: str | None, to: int) -> str:
+        lines = f"list_prepend({line}, v[{to}].t)" if line else f"v[{to}].t"
+        return f"{{'c': {cost} + v[{to}].c, 'a': '{edit}' || v[{to}].a, 't': {lines}}}"
+
+    best = lambda *options: f"list_sort([{', '.join(options)}])[1]"
+    inserted = lambda at, to: f"{{'c': 2 + {at}.c, 'a': 'I' || {at}.a, 't': list_prepend('{role[to]}:', {at}.t)}}"
+    kept = {1: "CASE kind WHEN 's' THEN 2 WHEN 'u' THEN 3 END", 2: "CASE kind WHEN 'u' THEN 3 END", 3: "CASE kind WHEN 'a' THEN 4 END", 4: "CASE kind WHEN 'u' THEN 3 END"}
+    base = []
+    for q in (1, 2, 3, 4):
+        keep = f"CASE WHEN fault < 2 AND ({kept[q]}) IS NOT NULL THEN {option('fault', 'K', 'line', 0).replace('v[0]', f'v[{kept[q]}]')} ELSE far END"
+        rerole = f"CASE WHEN fault < 2 THEN {option('2 + fault', 'R', f"'{role[wanted[q - 1]]}:' || text", wanted[q - 1])} ELSE far END"
+        base.append(f"{best(option('3', 'D', None, q), keep, rerole)} AS b{q}")
+    space = _SPACES
+    return f"""
+WITH RECURSIVE
+bits AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT)),
+             lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) % 20 AS damage
+  FROM conversations, bits),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN damage = 4 THEN 'user' ELSE role END AS role,
+         CASE damage WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM hashed, unnest(CASE WHEN damage = 3 THEN [1, 2] WHEN damage = 0 THEN []::INT[] ELSE [1] END)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, row_number() OVER (PARTITION BY conv_id, role, text) AS copy, trim(text, {space}) AS core FROM damaged),
+judged AS (
+  SELECT conv_id, turn, i, left(role, 1) AS kind, role || ':' || text AS line, text,
+         left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS pair, core = '' AS is_blank,
+         core <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS is_repeat, right(core, 1) NOT IN ('.', '!', '?') AS is_open FROM placed),
+faulty AS (SELECT *, CASE WHEN is_blank OR is_repeat THEN 2 WHEN is_open THEN 1 ELSE 0 END::BIGINT AS fault FROM judged),
+counted AS (
+  SELECT c.conv_id, count(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (is_blank) AS blank,
+         count(*) FILTER (is_repeat) AS duplicate, count(*) FILTER (fault = 1) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN faulty f ON c.conv_id IS NOT DISTINCT FROM f.conv_id GROUP BY c.conv_id),
+walk AS (
+  SELECT conv_id, n AS i, [{{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}}, {{'c': 4::BIGINT, 'a': 'II', 't': ['user:', 'assistant:']}},
+                           {{'c': 2::BIGINT, 'a': 'I', 't': ['assistant:']}}, {{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}}] AS v FROM counted
+  UNION ALL
+  SELECT conv_id, i, [{best('b1', inserted('f3', 3))}, {best('b2', inserted('f3', 3))}, f3, f4] AS v
+  FROM (SELECT conv_id, i, b1, b2, {best('b3', inserted('b4', 4))} AS f3, {best('b4', inserted('b3', 3))} AS f4
+        FROM (SELECT w.conv_id, w.i - 1 AS i, {', '.join(base)}
+              FROM (SELECT *, {{'c': 1000000000000, 'a': '', 't': []::VARCHAR[]}} AS far FROM walk) w JOIN faulty f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND w.i = f.i)))
+SELECT c.conv_id, gaps::BIGINT AS gaps, blank::BIGINT AS blank, duplicate::BIGINT AS duplicate, truncated::BIGINT AS truncated, illegal::BIGINT AS illegal,
+       v[1].c::BIGINT AS cost, v[1].a AS audit, sha256(array_to_string(v[1].t, chr(10))) AS repaired_sha256
+FROM counted c JOIN walk w ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = 0"""
+
+
+@query(_repair_sql())
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest structure repair of every damaged conversation."""
+    return conversations.repaired_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
