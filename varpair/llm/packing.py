@@ -8,58 +8,23 @@ from.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays as A
+from .bytelevel import joins_kinds, text_encoder
 from .io import in_tasks
-from .memo import PieceMemo
 
 MAX_LENGTH = 1024
-#: Spaces on which an ASCII split and the tokenizer's differ; texts with them go to the tokenizer whole.
-_ODD_SPACE = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-#: Bytes of letters up to U+024F, digits and stops: the tail of a piece that needs no word split.
-_TAIL = np.zeros(256, dtype=bool)
-_TAIL[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789.,;:!?")] = True
-_TAIL[0x80:0xC0] = _TAIL[0xC3:0xCA] = True
 _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids array<int>"
 
 
-def _not_plain(data: np.ndarray) -> np.ndarray:
-    """Bytes that a piece without word split must not have; the signs U+00D7 and U+00F7 are no letters."""
-    out = ~_TAIL[data]
-    sign = np.flatnonzero((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)))
-    out[sign] = out[sign + 1] = True
-    return out
-
-
-def _byte_letters() -> dict[str, int]:
-    """Byte of each character of byte-level vocabularies: printable ones stand for themselves, the rest follow from U+0100."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in printable]
-    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
-def _joins_kinds(vocabulary: list[str]) -> bool:
-    """Does a token of plain bytes join a line break, letters, digits or stops with each other?"""
-    letters = _byte_letters()
-    kind = {b: "d" if 48 <= b <= 57 else "s" if b in b".,;:!?" else "\n" if b == 10 else "l" for b in [*np.flatnonzero(_TAIL).tolist(), 10]}
-    for token in vocabulary:
-        raw = [letters.get(c, -1) for c in token]
-        kinds = {kind.get(b) for b in (raw[1:] if raw[:1] == [32] else raw)}
-        if None not in kinds and len(kinds) > 1:
-            return True
-    return False
-
-
 @lru_cache(maxsize=1)
 def _tokenizers(path: str):
     """The tokenizer, and one without its word split if no token joins what the split keeps apart in plain pieces."""
@@ -67,37 +32,21 @@ def _tokenizers(path: str):
 
     tokenizer, fast = Tokenizer.from_file(path), Tokenizer.from_file(path)
     fast.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    return tokenizer, None if _joins_kinds(list(tokenizer.get_vocab())) else fast
-
+    return tokenizer, None if joins_kinds(list(tokenizer.get_vocab())) else fast
 
-def byte_bpe_encoder(path: str) -> Callable[[pa.Array], list[np.ndarray]]:
-    """Encoder of a column of texts into 32-bit ids with the tokenizers library (byte-level BPE).
 
-    The byte-level split never joins a non-space with a following space, so a
-    text is the sequence of its ``spaces + word`` pieces, and each distinct piece
-    is encoded once.
-    """
+def byte_bpe_encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """Encoder of a column of texts with the tokenizers library: all ids end to end and each text's bounds."""
     tokenizer, fast = _tokenizers(path)
-    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    odd = "|".join([_ODD_SPACE, *map(re.escape, special)])
-    memo = PieceMemo(tokenizer, path, fast=fast, plain=_not_plain)
-
-    def encode(texts: pa.Array) -> list[np.ndarray]:
-        ids, bounds = memo.encode(*A.text_bytes(texts))
-        out = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-        found = np.flatnonzero(pc.fill_null(pc.match_substring_regex(texts, odd), False).to_numpy(zero_copy_only=False))
-        whole = list(zip(found.tolist(), texts.take(pa.array(found)).to_pylist()))
-        for (i, _), e in zip(whole, tokenizer.encode_batch_fast([t for _, t in whole], add_special_tokens=False)):
-            out[i] = np.asarray(e.ids, dtype="<u4")
-        return out
-
-    return encode
+    return text_encoder(tokenizer, fast, path)
 
 
-def piece_lengths(n: int, longest: int = MAX_LENGTH) -> list[int]:
-    """``n`` as whole pieces of ``longest`` and then falling powers of two."""
-    rest = n % longest
-    return [longest] * (n // longest) + [1 << b for b in range(longest.bit_length() - 1, -1, -1) if rest >> b & 1]
+def piece_table(totals: np.ndarray, longest: int = MAX_LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Document (by place) and length of every piece of documents of these lengths, in order."""
+    bits = np.arange(longest.bit_length() - 2, -1, -1)
+    counts = np.concatenate([(totals // longest)[:, None], (totals % longest)[:, None] >> bits & 1], axis=1)
+    lengths = np.broadcast_to(np.concatenate([[longest], 1 << bits]), counts.shape)
+    return np.repeat(np.arange(len(totals)), counts.sum(axis=1)), np.repeat(lengths.ravel(), counts.ravel())
 
 
 def packed_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 0, longest: int = MAX_LENGTH, with_ids: bool = True) -> DataFrame:
@@ -112,19 +61,20 @@ def packed_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 0, longest
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = byte_bpe_encoder(tokenizer_path)
-        end = np.asarray([end_id], dtype="<u4")
+        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
         for part in A.chunks(batches, limit=6 * A.CHUNK_BYTES):
-            out: list[tuple] = []
-            for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode(part.column("text"))):
-                ids = np.concatenate([ids, end])
-                total, start = len(ids), 0
-                for length in piece_lengths(total, longest):
-                    piece = ids[start : start + length]
-                    out.append((doc_id, start, length, zlib.crc32(piece.tobytes()), total, piece.view("<i4") if with_ids else None))
-                    start += length
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
-            kinds = [pa.int64()] * 5 + [pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*out), kinds)], names=names)
+            coded, bounds = encode(part.column("text"))
+            ids = np.insert(coded, bounds[1:], end_id).astype("<u4", copy=False)
+            bounds = bounds + np.arange(len(bounds))
+            totals = np.diff(bounds)
+            doc, lengths = piece_table(totals, longest)
+            ends = np.cumsum(lengths)
+            starts = ends - lengths
+            raw = memoryview(ids).cast("B")
+            crcs = [zlib.crc32(raw[a:b]) for a, b in zip((4 * starts).tolist(), (4 * ends).tolist())]
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), type=pa.int32()), pa.array(ids.view("<i4"))) if with_ids else pa.nulls(len(doc), pa.list_(pa.int32()))
+            numbers = [pa.array(x, type=pa.int64()) for x in (starts - bounds[doc], lengths, crcs, totals[doc])]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(doc)), *numbers, lists], names=names)
 
     rows = in_tasks(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), pack, _SCHEMA)
     return rows.select("*", F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
