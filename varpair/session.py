@@ -10,6 +10,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,8 +31,7 @@ def local_session(cpus: int | str = "*", app: str = "varpair", shuffle_partition
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", os.environ.get("VARPAIR_ADVISORY_BYTES", "16m"))
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # no broadcast from static (estimated) sizes: explicit, count-checked hints
-        # only, plus AQE broadcasts from measured shuffle sizes
+        # no broadcast from static (estimated) sizes, only what AQE measured as small
         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32m")
         .config("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
@@ -77,3 +79,26 @@ def cut_lineage(df: DataFrame, name: str | None = None, eager: bool = True) -> D
         return df.checkpoint(eager=False)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package (``addPyFile``), once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    target = os.path.join(tempfile.mkdtemp(prefix="varpair-tasks-"), "varpair_tasks.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent))
+    sc.addPyFile(target)
+    _shipped.add(sc.applicationId)
+
+
+def in_tasks(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """``df.mapInArrow(fn, schema)`` with this package at hand on the executors."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(fn, schema)
