@@ -1,15 +1,19 @@
-"""Intervals: merge (W6), binned range semi-join (J15), interval-list rows."""
+"""Intervals: merge (W6), range semi-join by a sweep (J15), interval-list rows."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import cut_lineage
-from .joins import natural_join
-
-# Width of the bins that turn a range join into an equi-join.
-DEFAULT_BIN = 3600
+from ..session import cut_lineage, in_tasks
+from .joins import natural_join, small_or_shuffled
 
 
 def merge_intervals(df: DataFrame, chrom: str = "chrom", start: str = "start", end: str = "end") -> DataFrame:
@@ -63,25 +67,66 @@ def interval_list_to_bed(lines: DataFrame, text: str = "value") -> DataFrame:
 
 
 def points_in_regions(
-    points: DataFrame, regions: DataFrame, chrom: str = "chrom", pos: str = "pos",
-    start: str = "start", end: str = "end", bin_size: int = DEFAULT_BIN,
+    points: DataFrame, regions: DataFrame, chrom: str = "chrom", pos: str = "pos", start: str = "start", end: str = "end",
 ) -> DataFrame:
     """Points with ``start <= pos < end`` for some region of their chrom.
 
-    Regions are exploded to the fixed-width bins they touch; each point has
-    exactly one bin, so the range test becomes an equi-join on
-    ``(chrom, bin)`` plus a filter, and a semi join returns each point at most
-    once.  Keys are (chrom, bin), so one hot chromosome spreads over its bins.
+    A plane sweep over range slices: region starts and points are put in one
+    order by (chrom, position), and a point lies in a region if the furthest end
+    of the regions that start at or before it is beyond it.
+
+    1. regions of one start become the one that reaches furthest (partial max);
+    2. starts and points are range-partitioned on the order (sampled bounds;
+       points of one position are spread by a hash), sorted, and swept once with
+       the running furthest end of their slice; points are written with it,
+       together with one row per slice and chrom that holds the slice's own;
+    3. the prefix max over the slices of a chrom is carried to each slice.
+
+    A region costs one row whatever its width, and overlapping regions are never
+    compared with each point.  Rows with a NULL or an empty region are in none.
     """
-    r = regions.select(
-        F.col(chrom).alias("_rc"), F.col(start).alias("_rs"), F.col(end).alias("_re")
-    ).where(F.col("_re") > F.col("_rs"))
-    first_bin = F.floor(F.col("_rs") / bin_size).cast("bigint")
-    last_bin = F.floor((F.col("_re") - 1) / bin_size).cast("bigint")
-    r = r.withColumn("_rb", F.explode(F.sequence(first_bin, last_bin)))
-    p = points.withColumn("_pb", F.floor(F.col(pos) / bin_size).cast("bigint"))
-    cond = (
-        (F.col(chrom) == F.col("_rc")) & (F.col("_pb") == F.col("_rb"))
-        & (F.col(pos) >= F.col("_rs")) & (F.col(pos) < F.col("_re"))
-    )
-    return p.join(r, cond, "left_semi").drop("_pb")
+    own = regions.select(F.col(chrom).alias("_ch"), F.col(start).cast("long").alias("_x"), F.col(end).cast("long").alias("_e"))
+    own = own.where("_ch IS NOT NULL AND _e > _x").groupBy("_ch", "_x").agg(F.max("_e").alias("_e"))
+    row = F.struct(*[F.col(f"`{c}`") for c in points.columns])
+    asked = points.select(F.col(chrom).alias("_ch"), F.col(pos).cast("long").alias("_x"), row.alias("_row"), F.xxhash64(row).alias("_h")).where("_ch IS NOT NULL AND _x IS NOT NULL")
+    both = asked.unionByName(own, allowMissingColumns=True)
+    order = ["_ch", "_x", F.col("_row").isNotNull(), "_h"]
+    swept = in_tasks(both.repartitionByRange(*order).sortWithinPartitions(*order).select("_ch", "_x", "_e", "_row"), _sweep, T.StructType([both.schema["_ch"], both.schema["_x"], T.StructField("_reach", T.LongType()), T.StructField("_pid", T.IntegerType()), both.schema["_row"]]))
+    swept = cut_lineage(swept, "swept")
+    ends = swept.where("_row IS NULL").select("_ch", "_pid", "_reach")
+    before = Window.partitionBy("_ch").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select("_ch", "_pid", F.max("_reach").over(before).alias("_carry")).where("_carry IS NOT NULL")
+    found = swept.where("_row IS NOT NULL").join(small_or_shuffled(carry), ["_ch", "_pid"], "left")
+    return found.where("greatest(_reach, _carry) > _x").select("_row.*")
+
+
+def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Points with the furthest end of the regions of their chrom that this slice has before them; at the end of each chrom a row without a point."""
+    pid, none = TaskContext.get().partitionId(), np.iinfo(np.int64).min
+    chrom, reach, seen = None, none, False
+    names = ["_ch", "_x", "_reach", "_pid", "_row"]
+
+    def summary(batch: pa.RecordBatch) -> pa.RecordBatch:
+        kinds = batch.schema
+        return pa.RecordBatch.from_arrays([pa.array([chrom], type=kinds.field("_ch").type), pa.array([None], type=pa.int64()), pa.array([None if reach == none else reach], type=pa.int64()), pa.array([pid], type=pa.int32()), pa.nulls(1, kinds.field("_row").type)], names=names)
+
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last, chroms = batch, batch.column("_ch")
+        cuts = np.flatnonzero(pc.not_equal(chroms[1:], chroms[:-1]).to_numpy(zero_copy_only=False)) + 1
+        ends = pc.fill_null(batch.column("_e"), none).to_numpy()
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            if seen and chroms[a].as_py() != chrom:
+                yield summary(batch)
+                reach = none
+            chrom, seen = chroms[a].as_py(), True
+            furthest = np.maximum.accumulate(np.maximum(ends[a:b], reach))
+            reach = int(furthest[-1])
+            part = batch.slice(a, b - a)
+            found = pa.array(furthest, mask=furthest == none)
+            rows = pa.RecordBatch.from_arrays([part.column("_ch"), part.column("_x"), found, pa.array(np.full(b - a, pid, dtype=np.int32)), part.column("_row")], names=names)
+            yield rows.filter(part.column("_row").is_valid())
+    if seen:
+        yield summary(last)

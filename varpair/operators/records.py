@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
-from .joins import natural_join
+from .joins import natural_join, small_or_shuffled
 
 
 def _descending(df: DataFrame, score: str) -> list[Column]:
@@ -45,21 +45,22 @@ def ordered_records(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """A total order by ``order`` with the global position as a column.
 
     The rows are range-partitioned on the sort keys (sampled bounds, so a hot
-    leading key does not pin one task with the whole table) and written once
-    to the shared checkpoint folder together with their range number: range
+    leading key does not pin one task with the whole table), sorted, numbered
+    within their range and written once to the shared checkpoint folder: range
     counts and rows are then read from the same ranges, whatever columns the
-    frame carries.  Position = rows of earlier ranges + rank in the range.
+    frame carries.  Position = rows of earlier ranges + number in the range; the
+    rows are shuffled once, for the ranges.
     """
-    ranged = df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id())
-    ranged = cut_lineage(ranged, "ordered")
+    # the id is the number of the range in its upper bits, and the place within it in the lower 33
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    ranged = cut_lineage(ranged, "ordered").withColumn("_pid", F.shiftright("_id", 33))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per range
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = Window.partitionBy("_pid").orderBy(*order)
+    rank = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
     return (
-        ranged.withColumn("_r", F.row_number().over(local))
-        .join(offs, "_pid")
-        .withColumn("position", (F.col("_off") + F.col("_r")).cast("bigint"))
+        ranged.join(small_or_shuffled(offs), "_pid")
+        .withColumn("position", (F.col("_off") + rank).cast("bigint"))
         .select(*df.columns, "position")
     )
