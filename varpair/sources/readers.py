@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..operators.annotations import field_names
 from ..operators.intervals import interval_list_to_bed
+from .bgzip import SPLIT_BYTES, is_block_gzip, read_block_gzip
 
 VCF_FIXED = ["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT"]
 INFO_HEADER = "##INFO=<ID=FUNCOTATION"
@@ -34,21 +35,28 @@ REFERENCE_SCHEMA = T.StructType([
 ])
 
 
-def read_vcf(spark: SparkSession, path: str, sample: str, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(header_lines, body)`` of a (b)gzip or plain VCF.
+def read_lines(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Lines of a text file as ``value``.  Block gzip is read by one task for every
+    ``split_bytes``; any other gzip file is one split and is dealt out after the scan."""
+    if is_block_gzip(path):
+        return read_block_gzip(spark, path, split_bytes)
+    lines = spark.read.text(path)
+    return lines.repartition(spark.sparkContext.defaultParallelism) if path.endswith((".gz", ".bgz")) else lines
+
 
-    ``#CHROM`` becomes ``CHROM`` and the last column is named ``sample``.
-    A gzip file is one split, so the body is repartitioned right after the
-    scan to spread the parse over the cluster.
+def read_vcf(spark: SparkSession, path: str, sample: str, split_bytes: int = SPLIT_BYTES) -> tuple[DataFrame, DataFrame]:
+    """``(header_lines, body)`` of a block-gzip, gzip or plain VCF.
+
+    ``#CHROM`` becomes ``CHROM`` and the last column is named ``sample``.  The
+    name line is searched in the lines that begin with ``#``; the body is parsed
+    in the tasks that read it.
     """
-    lines = spark.read.text(path)
+    lines = read_lines(spark, path, split_bytes)
     header = lines.filter(F.col("value").startswith("##"))
     names_line = lines.filter(F.col("value").startswith("#CHROM")).select("value").first()
     cols = names_line[0].lstrip("#").split("\t") if names_line else VCF_FIXED + [sample]
     cols = cols[:-1] + [sample]
     body = lines.filter(~F.col("value").startswith("#"))
-    n = partitions or spark.sparkContext.defaultParallelism
-    body = body.repartition(n)
     parts = F.split(F.col("value"), "\t")
     body = body.select(*[F.try_element_at(parts, F.lit(i + 1)).alias(c) for i, c in enumerate(cols)])
     return header, body
