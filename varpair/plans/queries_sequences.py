@@ -9,7 +9,7 @@ from ..functions import hgvs
 from ..functions.codons import translate
 from ..functions.strings import cds_slice
 from ..operators.context import context_window
-from ..operators.sequences import DEFAULT_SLICE, assign_strands, index_shift, mutated_proteins, strand_members
+from ..operators.sequences import assign_strands, mutated_proteins, strand_members, strand_scan
 from .registry import register
 from .standins import CHANGES, TRANSCRIPTS, amino, with_ctes
 
@@ -33,6 +33,11 @@ def strands(spark, sf):
     return assign_strands(changes_with_zygosity(spark, sf).drop(*SEQUENCES), GROUP, ORDER, segmented=True)
 
 
+def shifted_strands(spark, sf):
+    """Strands and index shifts in one scan of the change columns."""
+    return strand_scan(changes_with_zygosity(spark, sf).drop(*SEQUENCES), GROUP, ORDER)
+
+
 # ---------------------------------------------------------------- SQL pieces
 _W = "PARTITION BY sample, annotationTranscript ORDER BY mutstart, POS, variantType, mutalt, protalt, GT"
 STRANDS_SQL = with_ctes(CHANGES) + f""",
@@ -141,7 +146,7 @@ FROM shifted""",
 def q_index_shift(spark, sf):
     """W3 + W4: running protein-index shift per strand, with and without the
     row itself — segmented over position slices (hot-transcript-safe)."""
-    s = index_shift(strands(spark, sf), GROUP, ORDER, bucket_width=DEFAULT_SLICE)
+    s = shifted_strands(spark, sf)
     return s.select(*GROUP, "POS", *[F.col(c).cast("bigint").alias(c) for c in
                                     ("base_index_1", "base_before_1", "base_index_2", "base_before_2")])
 
@@ -257,7 +262,7 @@ def q_context_window(spark, sf):
     proteins of the sample, using the carried index shift of each strand
     (segmented strand assignment and shifts), with multi-allelic-site
     masking; plus the reference window."""
-    s = index_shift(strands(spark, sf), GROUP, ORDER, bucket_width=DEFAULT_SLICE)
+    s = shifted_strands(spark, sf)
     out = context_window(s.join(sequences(spark, sf), "annotationTranscript", "left"), het_site="hetsite")
     return out.select(*GROUP, "POS", "seqpad1", "seqpad2", "ref_peptide")
 
