@@ -3,11 +3,13 @@ the tissue-class branch (S4, U1–U6, F13, P10, J8–J10, A4–A6)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Sets to one mask (the bits of a long without its sign).
+MAX_SETS = 63
 
 # Expression thresholds (TPM) of the patient-specific set.
 LOW_TPM = 2.0
@@ -36,30 +38,46 @@ def gene_set(sets: DataFrame, tissue: str, sex: str, symbol: str = "symbol") ->
     return sets.filter(cond).select(symbol).distinct()
 
 
+def set_masks(sets: dict[str, DataFrame]) -> DataFrame:
+    """``(gene, mask)``: every gene of any set once, with bit ``i`` set if the
+    ``i``-th set holds it; NULL is a gene like others.  One grouped bitwise or
+    over all sets; set algebra on the result is bit arithmetic."""
+    if len(sets) > MAX_SETS:
+        raise ValueError(f"at most {MAX_SETS} sets to a mask")
+    tagged = [s.select(F.col(f"`{s.columns[0]}`").alias("gene"), F.lit(1 << i).cast("long").alias("mask")) for i, s in enumerate(sets.values())]
+    return reduce(DataFrame.unionByName, tagged).groupBy("gene").agg(F.bit_or("mask").alias("mask"))
+
+
+def has_all(*bits: int) -> Column:
+    """Does ``mask`` have all of these bits?"""
+    want = sum(1 << b for b in bits)
+    return F.col("mask").bitwiseAND(F.lit(want)) == want
+
+
 def expressed_genes(
     tpm: DataFrame, rna_low: DataFrame, prot_low: DataFrame,
     gene: str = "Description", value: str = "TPM", lo: float = LOW_TPM, hi: float = HIGH_TPM,
 ) -> DataFrame:
     """F13 + U2 + U6: (expressed above ``lo`` ∩ low protein ∩ low RNA) ∪
     (expressed above ``hi`` ∩ low RNA), one column ``gene``."""
-    above_lo = tpm.filter(F.col(value) > lo).select(F.col(gene).alias("gene"))
-    above_hi = tpm.filter(F.col(value) > hi).select(F.col(gene).alias("gene"))
-    r = rna_low.select(F.col(rna_low.columns[0]).alias("gene"))
-    p = prot_low.select(F.col(prot_low.columns[0]).alias("gene"))
-    return above_lo.intersect(p).intersect(r).union(above_hi.intersect(r)).distinct()
+    above = [tpm.filter(F.col(value) > level).select(gene) for level in (lo, hi)]
+    masks = set_masks({"lo": above[0], "hi": above[1], "rna": rna_low, "prot": prot_low})
+    return masks.filter(has_all(0, 2, 3) | has_all(1, 2)).select("gene")
 
 
 def flag_gene_sets(
     df: DataFrame, sets: dict[str, DataFrame], gene: str = "hugoSymbol",
 ) -> DataFrame:
-    """P10: one yes/no column per named set (left join to the distinct set,
-    broadcast when a bounded count proves it small)."""
-    out = df
-    for name, s in sets.items():
-        keys = s.select(F.col(s.columns[0]).alias(f"_set_{name}")).where(F.col(f"_set_{name}").isNotNull()).distinct()
-        out = out.join(keys, F.col(gene) == F.col(f"_set_{name}"), "left")
-        out = out.withColumn(name, F.when(F.col(f"_set_{name}").isNotNull(), F.lit("yes")).otherwise(F.lit("no")))
-        out = out.drop(f"_set_{name}")
+    """P10: one yes/no column per named set, from one left join to the sets'
+    masks for every ``MAX_SETS`` sets (a NULL gene is in none).  A column of a
+    set's name is replaced."""
+    out, names = df, list(sets)
+    for at in range(0, len(names), MAX_SETS):
+        some = names[at : at + MAX_SETS]
+        masks = set_masks({n: sets[n] for n in some}).where("gene IS NOT NULL").select(F.col("gene").alias("_gene"), "mask")
+        out = out.join(masks, F.col(gene) == F.col("_gene"), "left")
+        flags = {n: F.when(has_all(i), F.lit("yes")).otherwise(F.lit("no")) for i, n in enumerate(some)}
+        out = out.withColumns(flags).drop("_gene", "mask")
     return out
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import nth_token
+from ..session import cut_lineage
+from .kmers import remove_recognised
 
 # Binder threshold and the "no allele" marker.
 MAX_RANK = 0.5
@@ -121,3 +123,62 @@ def attach_binders(
     ``max_rank`` with a known allele."""
     good = scores.filter((F.col(rank) < max_rank) & F.coalesce(F.col(allele) != UNKNOWN_ALLELE, F.lit(True)))
     return peptides.join(good, "pep", "inner")
+
+
+def binder_counts(found: DataFrame, pep: str = "pep", gene: str = "gene", allele: str = "best_allele") -> DataFrame:
+    """K5 in rows ``(metric, key, value)``: distinct peptides, and rows per gene
+    and per allele (NULL is a value).  Counts are partial sums on the map side,
+    so a gene or an allele that holds most rows is no hot key."""
+    per = lambda metric, c: found.groupBy(F.col(f"`{c}`").cast("string").alias("key")).agg(F.count(F.lit(1)).alias("value")).select(F.lit(metric).alias("metric"), "key", "value")
+    total = found.select(pep).where(F.col(pep).isNotNull()).distinct().agg(F.count(F.lit(1)).alias("value")).select(F.lit("peptides").alias("metric"), F.lit(None).cast("string").alias("key"), "value")
+    return total.unionByName(per("gene", gene)).unionByName(per("allele", allele))
+
+
+def binder_summary(found: DataFrame, pep: str = "pep", gene: str = "gene", allele: str = "best_allele") -> DataFrame:
+    """K5: the one-row form for the summary file: ``peptides``, ``gene_count`` and
+    ``allele`` (maps; their entries are the distinct genes and alleles, a NULL
+    is under the empty name)."""
+    counts = binder_counts(found, pep, gene, allele)
+    entry = F.struct(F.coalesce("key", F.lit("")), "value")
+    cell = lambda metric: F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col("metric") == metric, entry))))
+    merged = counts.groupBy("metric", F.coalesce("key", F.lit("")).alias("key")).agg(F.sum("value").alias("value"))
+    return merged.agg(F.max(F.when(F.col("metric") == "peptides", F.col("value"))).alias("peptides"), cell("gene").alias("gene_count"), cell("allele").alias("allele"))
+
+
+def score_branch(
+    peptides: DataFrame,
+    scores: DataFrame,
+    donor_proteome: DataFrame | None = None,
+    host_proteome: DataFrame | None = None,
+    autosomal: bool = True,
+    max_rank: float = MAX_RANK,
+) -> dict[str, DataFrame]:
+    """One scoring branch: what follows the peptide table of a branch, whichever it is.
+
+    ``peptides``: ``pep, ref_pep (autosomal only), gene, transid``; ``scores``:
+    ``pep, allele, rank``; proteomes: ``gene, seq``.
+
+    * with proteomes, peptides that the donor's holds, or another gene of the
+      host's, are removed (T4);
+    * ``scorer_list``: the scorer's input with lengths (T2, T3);
+    * ``peptides``: one row per peptide with its ids (A9);
+    * ``best``: lowest rank and its allele (A10);
+    * ``binders``: peptide rows whose best rank is below ``max_rank`` (T5, F15),
+      and ``binder_counts``: their summary in rows (K5).
+
+    The remaining peptides are written once to the shared checkpoint folder, as
+    all four tables read them.
+    """
+    left = peptides
+    if donor_proteome is not None and host_proteome is not None:
+        left = remove_recognised(left, donor_proteome, host_proteome)
+    left = cut_lineage(left, "branch-peptides")
+    best = best_allele(scores, max_rank=max_rank)
+    found = attach_binders(left.select("pep", "gene", "transid").distinct(), best, "best_rank", "best_allele", max_rank)
+    return {
+        "scorer_list": with_length(scorer_list(left, "transid", with_reference=autosomal)),
+        "peptides": peptide_groups(left),
+        "best": best,
+        "binders": found,
+        "binder_counts": binder_counts(found),
+    }

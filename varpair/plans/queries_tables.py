@@ -9,8 +9,6 @@ from ..functions import genotype as G
 from ..functions.strings import compound_id, nth_token
 from ..operators import annotations as A
 from ..operators.genesets import (
-    TISSUE_BINS,
-    TISSUE_CLASS_KEYS,
     class_size_histogram,
     class_value_counts,
     expressed_genes,
@@ -335,9 +333,13 @@ def q_class_histogram(spark, sf):
 
 
 def _fixed_sql() -> str:
-    parts = [f"count_if(coalesce(gvhd_classfication = '{v}', false)) AS \"{k}\"" for k, v in TISSUE_CLASS_KEYS.items()]
-    parts += [f"count_if(coalesce(len(string_split(gvhd_classfication, ',')) = {b}, false)) AS \"Genes expressed by {b} gvhd tissues\""
-              for b in TISSUE_BINS]
+    one = lambda label, v: f"count_if(coalesce(gvhd_classfication = '{v}', false)) AS \"Genes expressed in {label}\""
+    parts = [
+        "count_if(coalesce(gvhd_classfication = 'pan expressed gene', false)) AS \"Pan expressed genes\"",
+        one("non-hemato tissues", "lung,liver,skin,colon,lacrimal,oral"),
+        *[one(t, t) for t in ("lung", "liver", "skin", "colon", "lacrimal", "oral", "hematopoietic")],
+        *[f"count_if(coalesce(len(string_split(gvhd_classfication, ',')) = {n}, false)) AS \"Genes expressed by {n} gvhd tissues\"" for n in (2, 3, 4, 5)],
+    ]
     return _classes_sql() + "\nSELECT " + ", ".join(parts) + " FROM gc"
 
 

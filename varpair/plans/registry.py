@@ -35,4 +35,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import queries_core, queries_kmers, queries_pair, queries_sequences, queries_tables  # noqa: F401
+    from . import queries_branches, queries_core, queries_kmers, queries_pair, queries_sequences, queries_tables  # noqa: F401

@@ -190,7 +190,7 @@ DONOR_PROTEOME = StandIn(
     "donor_proteome", "documents", {"doc_id": "doc_id", "gene": "source", "seq": "text"}, where="lang = 'en'"
 )
 HOST_PROTEOME = StandIn(
-    "host_proteome", "documents", {"doc_id": "doc_id", "gene": "source", "seq": "text"}, where="lang <> 'en'"
+    "host_proteome", "documents", {"doc_id": "doc_id", "gene": "source", "seq": "text"}, where="coalesce(lang <> 'en', true)"
 )
 
 # --- alignment hits (15-column search output) from lineitem ------------------
