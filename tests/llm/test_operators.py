@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from varpair.llm import arrays, exact, jaccard, langid, lines, packing, phrases, pieces, quality, recurring, suffixes, toxicity
 from varpair.llm.components import components
 from varpair.llm.queries import tokenizer_path
+from varpair.sinks.bucketed import sorted_scans
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -187,6 +188,27 @@ def test_line_runs_levels(spark, empty):
     assert not runs.tables() and lines.line_dedup(empty).count() == 0
 
 
+def test_line_runs_are_merged_where_they_lie(spark):
+    runs = lines.LineRuns(spark, fan_out=5)
+    keys = lambda i: spark.range(400).selectExpr("id AS doc_id", "0L AS text_key", "0 AS position", f"id % {50 + i} AS h1", "id AS h2")
+    for i in range(3):
+        runs.add(keys(i))
+    with sorted_scans(spark):
+        plan = runs.merged(keys(9).groupBy("h1", "h2").agg(F.min("doc_id").alias("first")))._jdf.queryExecution().executedPlan().toString()
+    shape = [line.lstrip(" :+-|").split(" ")[0] for line in plan.splitlines()]
+    assert shape.count("Exchange") == 1 and shape.count("Sort") == 1 and shape.count("SortMergeJoin") == 3
+    assert plan.count("Bucketed: true") == 3
+    runs.drop()
+
+
+def test_failed_batch_leaves_no_run(spark, docs, monkeypatch):
+    before = {t.name for t in spark.catalog.listTables()}
+    monkeypatch.setattr(lines.LineRuns, "compact", lambda self: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        lines.line_dedup(docs)
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 def test_exact(docs, table, empty):
     groups = collections.defaultdict(list)
     for d, t in table:

@@ -1,10 +1,11 @@
 """Line deduplication against levelled sorted runs of line hashes.
 
 ``LineRuns`` holds, for every line seen so far, its hash and the document that
-keeps it, in runs: tables bucketed and sorted by the hash.  A batch of documents
-is joined with the runs by merging (they need no shuffle or sort), adds its own
-new lines as a run of level 0, and whenever a level has ``fan_out`` runs they are
-merged into one run of the next level.  A hash is in one run only.
+keeps it, in runs: tables bucketed and sorted by both halves of the hash, one
+file a bucket.  A batch of documents is shuffled once and merge-joined with the
+runs where they lie (no exchange or sort of a run), adds its own new lines as a
+run of level 0, and whenever a level has ``fan_out`` runs they are merged into
+one run of the next level.  A hash is in one run only.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varpair.sinks.bucketed import drop_bucketed, sorted_scans, write_bucketed
+
 from .io import ascii_lower, in_tasks, keyed, real_id, row_type, saved
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -34,7 +37,7 @@ def line_keys(docs: DataFrame, min_chars: int = 10) -> DataFrame:
 
 
 class LineRuns:
-    """Levelled sorted runs in the warehouse; a name opens the same runs again in a later session of the catalog."""
+    """Levelled sorted runs in the shared folder; a name opens the same runs again in a later session of the catalog."""
 
     def __init__(self, spark: SparkSession, name: str | None = None, fan_out: int = 3, buckets: int | None = None):
         self.spark, self.fan_out = spark, fan_out
@@ -47,7 +50,7 @@ class LineRuns:
 
     def _write(self, rows: DataFrame, level: int) -> None:
         table = f"{self.name}_l{level}_{uuid.uuid4().hex[:8]}"
-        rows.repartition(self.buckets, "h1").write.bucketBy(self.buckets, "h1").sortBy("h1", "h2").saveAsTable(table)
+        write_bucketed(rows, table, ["h1", "h2"], buckets=self.buckets)
         self.levels.setdefault(level, []).append(table)
 
     def tables(self) -> list[str]:
@@ -55,9 +58,18 @@ class LineRuns:
 
     def drop(self) -> None:
         for table in self.tables():
-            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            drop_bucketed(self.spark, table)
         self.levels = {}
 
+    def merged(self, batch: DataFrame) -> DataFrame:
+        """The distinct hashes of a batch (h1, h2, ...) with their owner in the runs, null where they are new."""
+        found = batch.withColumn("owner", F.lit(None).cast("long"))
+        for table in self.tables():
+            run = self.spark.table(table).select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.col("owner").alias("_owner"))
+            joined = found.join(run.hint("merge"), (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left")
+            found = joined.select(*batch.columns, F.coalesce("owner", "_owner").alias("owner"))
+        return found
+
     def add(self, keys: DataFrame) -> DataFrame:
         """Join a batch of line keys with the runs, then add what is new as a run.
 
@@ -65,12 +77,8 @@ class LineRuns:
         Earlier batches go first: a line they hold keeps its document.
         """
         batch = keys.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        found = batch.withColumn("owner", F.lit(None).cast("long"))
-        for table in self.tables():
-            run = self.spark.table(table).select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.col("owner").alias("_owner"))
-            joined = found.join(run.hint("merge"), (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left")
-            found = joined.select("h1", "h2", "first", "last", F.coalesce("owner", "_owner").alias("owner"))
-        found = saved(found, "lines-batch")
+        with sorted_scans(self.spark):
+            found = saved(self.merged(batch), "lines-batch")
         self._write(found.filter(F.col("owner").isNull()).select("h1", "h2", F.col("first").alias("owner")), 0)
         self.compact()
         return found.select("h1", "h2", F.coalesce("owner", "first").alias("owner"), "last").filter(F.col("owner") != F.col("last")).drop("last")
@@ -83,7 +91,7 @@ class LineRuns:
                 self._write(reduce(DataFrame.unionByName, [self.spark.table(t) for t in runs]), level + 1)
                 self.levels[level] = []
                 for table in runs:
-                    self.spark.sql(f"DROP TABLE {table}")
+                    drop_bucketed(self.spark, table)
 
 
 def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,11 +124,11 @@ def line_dedup(docs: DataFrame, batches: int = 4, min_chars: int = 10, runs: Lin
     number = reduce(lambda a, b: a + b, [(F.col("doc_id") > b).cast("int") for b in bounds], F.lit(0))
     keys = saved(line_keys(rows, min_chars).withColumn("batch", number), "line-keys")
     own = runs or LineRuns(spark)
-    losers = []
-    for i in range(len(bounds) + 1):
-        losers.append(own.add(keys.filter(F.col("batch") == i)).withColumn("batch", F.lit(i)))
-    if runs is None:
-        own.drop()
+    try:
+        losers = [own.add(keys.filter(F.col("batch") == i)).withColumn("batch", F.lit(i)) for i in range(len(bounds) + 1)]
+    finally:
+        if runs is None:
+            own.drop()
     lost = reduce(DataFrame.unionByName, losers)
     gone = keys.join(lost, ["batch", "h1", "h2"]).filter(F.col("doc_id") != F.col("owner")).groupBy("doc_id", "text_key").agg(F.collect_set("position").alias("dropped"))
     joined = rows.join(gone, ["doc_id", "text_key"], "left").select("doc_id", "text_key", "row", "text", "dropped")
