@@ -35,6 +35,30 @@ def distinct_counts(df: DataFrame, cols: Sequence[str], tuples: Sequence[Sequenc
     return df.agg(F.count(F.lit(1)).alias("rows"), *aggs)
 
 
+def distinct_sketches(df: DataFrame, cols: Sequence[str], tuples: Sequence[Sequence[str]] = (), log_size: int = 12) -> DataFrame:
+    """A2 mergeable over runs: rows ``(metric, sketch)``, a HyperLogLog sketch of
+    ``2**log_size`` registers for each column and column tuple.
+
+    The metrics have the names of ``distinct_counts``; as there, a value with a
+    NULL is none.  A run keeps its rows (a few kilobytes each) beside its exact
+    counts; ``merge_sketches`` counts over any number of runs without their data.
+    """
+    of = lambda names: F.hll_sketch_agg(F.when(~F.greatest(*[F.col(c).isNull() for c in names], F.lit(False)), F.xxhash64(*names)), F.lit(log_size))
+    every = [(f"n_{c}", [c]) for c in cols] + [("n_" + "_".join(t), list(t)) for t in tuples]
+    one = df.agg(*[of(names).alias(metric) for metric, names in every])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("sketch")) for m, _ in every])).alias("r")).select("r.*")
+
+
+def merge_sketches(sketches: DataFrame) -> DataFrame:
+    """``(metric, value, sketch)``: distinct values over all runs whose sketch rows are in ``sketches``.
+
+    The relative standard error is ``1.04 / sqrt(2**log_size)`` (1.6 % at 12);
+    ``sketch`` can be kept and merged again.
+    """
+    union = sketches.groupBy("metric").agg(F.hll_union_agg("sketch", F.lit(False)).alias("sketch"))
+    return union.select("metric", F.hll_sketch_estimate("sketch").alias("value"), "sketch")
+
+
 def summary_long(parts: dict[str, DataFrame]) -> DataFrame:
     """K6 stacked: one-row summaries to ``(stage, metric, value)`` rows via
     ``stack`` per part and ``unionByName``."""

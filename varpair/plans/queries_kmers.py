@@ -12,6 +12,7 @@ from ..operators.kmers import (
     peptides_without_full_hit,
     remove_recognised,
 )
+from ..operators.score_store import chunk_texts, id_chunks, store_scores
 from ..operators.scores import (
     allele_length_grid,
     attach_binders,
@@ -23,7 +24,7 @@ from ..operators.scores import (
     with_length,
 )
 from ..functions.strings import nth_token
-from .registry import register
+from .registry import ORACLE, register
 from .standins import (
     ALLELES,
     BENCH_ITEMS,
@@ -251,3 +252,34 @@ def q_binder_join(spark, sf):
     peps = PEPTIDE_ROWS.df(spark, sf).select("pep", "transid", "CHROM")
     sc = SCORES.df(spark, sf).select("pep", "allele", "rank")
     return attach_binders(peps, sc).select("pep", "transid", "CHROM", "allele", "rank")
+
+
+@register("stored_best_allele", ORACLE["best_allele"])
+def q_stored_best_allele(spark, sf):
+    """A10 over the score table stored by peptide: grouped where it lies."""
+    return best_allele(store_scores(SCORES.df(spark, sf)))
+
+
+@register("stored_wide_scores", ORACLE["wide_scores"])
+def q_stored_wide_scores(spark, sf):
+    """A11 over the score table stored by peptide."""
+    return wide_scores(store_scores(SCORES.df(spark, sf)), ALLELES)
+
+
+@register("stored_binder_join", ORACLE["binder_join"].replace("(SELECT pep, allele, rank", "(SELECT DISTINCT pep, allele, rank"))
+def q_stored_binder_join(spark, sf):
+    """T5 over the score table stored by peptide, each distinct score once."""
+    peps = PEPTIDE_ROWS.df(spark, sf).select("pep", "transid", "CHROM")
+    return attach_binders(peps, store_scores(SCORES.df(spark, sf))).select("pep", "transid", "CHROM", "allele", "rank")
+
+
+@register(
+    "peptide_id_chunks",
+    with_ctes(PEPTIDE_ROWS) + """,
+placed AS (SELECT pep, transid, (row_number() OVER (ORDER BY pep, transid) - 1) // 1000 AS chunk
+  FROM (SELECT DISTINCT pep, transid FROM peptide_rows WHERE transid IS NOT NULL))
+SELECT pep, CAST(chunk AS BIGINT) AS chunk, string_agg(transid, ';' ORDER BY transid) AS transid, count(*) AS n FROM placed GROUP BY pep, chunk""",
+)
+def q_peptide_id_chunks(spark, sf):
+    """A9 with bounded groups: the ids of a peptide in chunks of 1,000 positions at most."""
+    return chunk_texts(id_chunks(PEPTIDE_ROWS.df(spark, sf), size=1000))

@@ -21,7 +21,7 @@ from ..operators.intervals import merge_intervals, points_in_regions
 from ..operators.joins import natural_join
 from ..operators.pairing import discordant, pair_samples, pick_foreign
 from ..operators.records import mark_duplicates, ordered_records
-from ..operators.summary import distinct_counts, summary_long, summary_wide
+from ..operators.summary import distinct_counts, distinct_sketches, merge_sketches, summary_long, summary_wide
 from .queries_core import PAIRED_SQL, sample_genotypes
 from .registry import register
 from .standins import CHANGES, DONOR_CALLS, HOST_CALLS, SITE_KEYS, TRANSCRIPTS, StandIn, pick, with_ctes
@@ -400,6 +400,24 @@ def q_distinct_counts(spark, sf):
     return _lineitem_counts(spark, sf)
 
 
+@register(
+    "distinct_sketches",
+    f"""SELECT metric, n, true AS within FROM (
+  SELECT 'n_l_orderkey' AS metric, n_l_orderkey AS n FROM ({_DC_SQL})
+  UNION ALL SELECT 'n_l_partkey', n_l_partkey FROM ({_DC_SQL})
+  UNION ALL SELECT 'n_l_partkey_l_suppkey', n_l_partkey_l_suppkey FROM ({_DC_SQL}))""",
+)
+def q_distinct_sketches(spark, sf):
+    """A2 over runs: the sketches of two runs, merged, against the exact counts of both
+    together; ``within`` three standard errors."""
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    cols, pairs = ["l_orderkey", "l_partkey"], [("l_partkey", "l_suppkey")]
+    runs = [distinct_sketches(li.filter(F.col("l_linenumber") % 2 == i), cols, pairs) for i in (0, 1)]
+    exact = summary_long({"all": distinct_counts(li, cols, pairs)}).select("metric", F.col("value").alias("n"))
+    near = F.abs(F.col("value") - F.col("n")) <= 3 * 1.04 / 2**6 * F.col("n")
+    return merge_sketches(runs[0].unionByName(runs[1])).join(exact, "metric").select("metric", "n", near.alias("within"))
+
+
 _ORD_COUNTS_SQL = """SELECT count(*) AS rows, count(DISTINCT o_custkey) AS n_o_custkey FROM orders"""
 
 
