@@ -82,20 +82,59 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(2, 4).alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"), F.col("_accepted").alias("accepted"))
 
 
-@query()
+@query(rf"""
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+     starts AS (SELECT r, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM docs WHERE len(w) > 0),
+     shingle AS (SELECT DISTINCT r, md5_number(array_to_string(w[i:i + 2], ' ')) AS h FROM starts),
+     sizes AS (SELECT r, count(*) AS n, md5(string_agg(h::VARCHAR, ' ' ORDER BY h)) AS whole FROM shingle GROUP BY r),
+     kind AS MATERIALIZED (SELECT whole, min(r) AS k, any_value(n) AS n FROM sizes GROUP BY whole),
+     placed AS MATERIALIZED (SELECT k, n, h, row_number() OVER (PARTITION BY k ORDER BY many, h) AS place
+       FROM kind JOIN shingle ON shingle.r = kind.k JOIN (SELECT h, count(*) AS many FROM shingle JOIN kind ON kind.k = shingle.r GROUP BY h) USING (h)),
+     prefix AS (SELECT k, n, h FROM placed WHERE place <= n - (90 * n + 99) // 100 + 1),
+     pair AS (SELECT DISTINCT a.k AS u, b.k AS v FROM prefix a JOIN prefix b ON a.h = b.h AND a.k < b.k AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)),
+     link AS MATERIALIZED (SELECT u, v FROM pair JOIN placed a ON a.k = u JOIN placed b ON b.k = v AND b.h = a.h GROUP BY u, v, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+     ways AS MATERIALIZED (SELECT u, v FROM link UNION ALL SELECT v, u FROM link),
+     reach AS (SELECT k AS x, k AS y FROM kind UNION SELECT x, v FROM reach JOIN ways ON u = y),
+     least_id AS (SELECT whole, min(doc_id) AS least FROM sizes JOIN docs USING (r) GROUP BY whole),
+     root AS (SELECT a.whole, min(least) AS root FROM kind a JOIN reach ON x = a.k JOIN kind b ON b.k = y JOIN least_id ON least_id.whole = b.whole GROUP BY a.whole)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(root, doc_id) AS component_id
+FROM docs LEFT JOIN sizes USING (r) LEFT JOIN root USING (whole)""")
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under 3-word shingle similarity 0.9."""
     found = jaccard.jaccard_groups(documents(spark, sf_dir), k=3, num=90, den=100)
     return found.select(real_id(), "n_shingles", real_id("component_id"))
 
 
-@query()
+@query(r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     starts AS (SELECT r, unnest(range(1, len(w) - 33)) AS i, w FROM docs WHERE len(w) >= 35),
+     windows AS MATERIALIZED (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM starts),
+     hit AS (SELECT r, i FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)),
+     gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS i FROM hit),
+     word AS (SELECT r, generate_subscripts(w, 1) AS i, unnest(w) AS x FROM docs),
+     kept AS (SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY i) AS text FROM word ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)""")
 def op7_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left of every document after recurring 35-word windows are removed."""
     return phrases.phrase_digests(documents(spark, sf_dir))
 
 
-@query()
+@query("""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+     bytes AS (SELECT r, doc_id, strlen(text) AS n, hex(encode(text)) AS x FROM docs),
+     page AS (SELECT r, n, p, x[2 * p + 1:2 * p + 2798] AS x FROM (SELECT r, n, x, unnest(range(0, n, 1000)) AS p FROM bytes WHERE n >= 400)),
+     starts AS (SELECT r, p, x, unnest(range(0, least(1000, n - 399 - p))) AS k FROM page),
+     windows AS MATERIALIZED (SELECT r, p + k AS i, md5(x[2 * k + 1:2 * k + 800]) AS h FROM starts),
+     hit AS (SELECT r, i, i > coalesce(lag(i) OVER (PARTITION BY r ORDER BY i) + 400, -1) AS opens FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)),
+     island AS (SELECT r, i, sum(opens::INT) OVER (PARTITION BY r ORDER BY i) AS s FROM hit),
+     span AS (SELECT r, s, min(i) AS a, max(i) + 400 AS b FROM island GROUP BY r, s),
+     edge AS (SELECT r, a AS upto, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS since FROM span UNION ALL SELECT r, max(n), max(b) FROM span JOIN bytes USING (r) GROUP BY r),
+     left_over AS (SELECT r, string_agg(x[2 * since + 1:2 * upto], '' ORDER BY since) AS x FROM edge JOIN bytes USING (r) WHERE upto > since GROUP BY r),
+     lost AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM span GROUP BY r)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN bytes.x ELSE coalesce(left_over.x, '') END)) AS kept_sha256
+FROM bytes LEFT JOIN lost USING (r) LEFT JOIN left_over USING (r)""")
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes left of every document after recurring 400-byte strings are removed."""
     return suffixes.suffix_digests(documents(spark, sf_dir))
