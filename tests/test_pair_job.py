@@ -162,6 +162,11 @@ def test_score_branches_y_rows_repeated_names_and_files(spark, tmp_path):
     assert y == {("USP9Y", "p.A2D", "chrY")}
     assert {r.protmut1 for r in out["host_y"].collect()} == {"MDKPGFELHKDW*"}
     assert [(r.pep, r.gene, r.transid, r.best_rank, r.best_allele) for r in out["y_binders"].collect()] == [("WWWWWWWW", "USP9Y", "Y2", 0.1, "A2")]
+    # the scores lie by peptide: no branch exchanges them again
+    assert "Bucketed: true" in out["y_binders"]._jdf.queryExecution().executedPlan().toString()
+    chunks = out["y_peptide_chunks"].collect()
+    assert {(r.pep, r.transid, r.n) for r in chunks} == {("WWWWWWWW", "Y2", 1), ("VVVVVVVVV", "Y3", 1)}
+    assert {(r.pep, r.transid, r.n_ids) for r in out["y_peptide_groups"].collect()} == {("WWWWWWWW", "Y2", 1), ("VVVVVVVVV", "Y3", 1)}
     row = out["y_binder_summary"].first()
     assert (row.peptides, row.gene_count, row.allele) == (1, {"USP9Y": 1}, {"A2": 1})
     assert {(r.pep, r.source, r.len) for r in out["y_scorer_list"].collect()} == {("WWWWWWWW", "host", 8), ("VVVVVVVVV", "host", 9)}
@@ -178,6 +183,8 @@ def test_score_branches_y_rows_repeated_names_and_files(spark, tmp_path):
     assert wide["tissue_variants"] == 3 and wide["y_binders_rows"] == 1
     lazy = pair_job.run_pair(params, tables, materialize=None)
     assert {(r.stage, r.metric): r.value for r in lazy["summary"].collect()} == summary
+    assert "Bucketed: true" not in lazy["y_binders"]._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, lazy["gvhd_peptide_groups"].collect())) == sorted(map(str, out["gvhd_peptide_groups"].collect()))
 
     files = pair_job.write_run(out, params, os.path.join(tmp_path, "run"))
     assert len(files) == len(out) + 2 and all(os.path.isdir(f) for f in files)
