@@ -310,6 +310,18 @@ def test_phrases(docs, table, width, bucket_bytes):
     assert rows_of(phrases.phrase_dedup(docs, width, bucket_bytes), "doc_id", "n_words", "n_removed", "kept_text") == want
 
 
+def test_dealing_by_anchor(spark):
+    """A hot anchor is dealt over many buckets; documents of another anchor stay together; no row is lost."""
+    rows = [(i, i, 100, [-5, i]) for i in range(600)] + [(1000 + i, 7, 100, [10 + i % 3]) for i in range(12)]
+    found = phrases.dealt(spark.createDataFrame(rows, "doc_id long, text_key long, size long, anchors array<long>"), 2000).collect()
+    assert sorted(r.doc_id for r in found) == sorted(r[0] for r in rows)
+    assert len({r.bucket for r in found if r.anchors[0] == -5}) > 15
+    assert max(collections.Counter(r.bucket for r in found).values()) < 150
+    for lead in (10, 11, 12):
+        assert len({r.bucket for r in found if r.anchors[0] == lead}) == 1
+    assert phrases.dealt(spark.createDataFrame([], "doc_id long, text_key long, size long, anchors array<long>"), 2000).count() == 0
+
+
 def test_automaton_shards_agree():
     rng, words = random.Random(3), _vocabulary(7, 30)
     text = " ".join(rng.choice(words) for _ in range(500))
