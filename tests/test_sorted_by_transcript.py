@@ -1,0 +1,23 @@
+"""Scanned changes that lie sorted by transcript meet its sequences without another sort."""
+
+import random
+
+from varpair.operators.sequences import crowded_buckets, scan_strands
+
+GROUP, ORDER = ["sample", "tx"], ["mutstart", "POS"]
+
+
+def test_join_on_the_transcript_sorts_no_changes(spark):
+    rng = random.Random(8)
+    rows = [(f"S{i % 3}", rng.choice(["T0", "T0", f"T{i % 9}", None]), rng.randint(1, 12), i, rng.choice(["SNP", "INS", "DEL"]), "MISSENSE", "p.A1", rng.choice(["hom", "het", None]), rng.randint(1, 4), "A", "M") for i in range(400)]
+    df = spark.createDataFrame(rows, "sample string, tx string, mutstart int, POS int, variantType string, variantClassification string, proteinChange string, loci string, protstart int, protalt string, protref string")
+    seqs = spark.createDataFrame([(f"T{i}", "MAK") for i in range(9)], "tx string, refProtein string")
+    joined = {}
+    for by in (False, True):
+        out = scan_strands(df, GROUP, ORDER, by_transcript=by).join(seqs, "tx", "left")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        joined[by] = (plan.count(" Sort ["), sorted(map(tuple, out.collect()), key=repr))
+    assert joined[True][0] == joined[False][0] - 1 and joined[True][1] == joined[False][1]
+    some = crowded_buckets(df, "tx", 100)
+    assert some and sorted(map(tuple, scan_strands(df, GROUP, ORDER, crowd=some, by_transcript=True).join(seqs, "tx", "left").collect()), key=repr) == joined[False][1]
