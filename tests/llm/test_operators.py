@@ -283,6 +283,44 @@ def test_jaccard_prefixes_lengthen_over_common_shingles(spark, empty, monkeypatc
     assert jaccard.jaccard_groups(empty).count() == 0 and jaccard.keep_one(empty).count() == 0
 
 
+def crowd_table():
+    """Members of three groups of edited copies (a word replaced up to 12 times), short texts of common words, a passage that many hold."""
+    rng, words = random.Random(12), _vocabulary(13, 3000)
+    prose = lambda n: [rng.choice(words) for _ in range(n)]
+    texts = []
+    for size, members in ((150, 50), (60, 30), (300, 20)):
+        base = prose(size)
+        for _ in range(members):
+            w = list(base)
+            for at in rng.sample(range(size), rng.randint(0, 12)):
+                w[at] = rng.choice(words)
+            texts.append(w[: size - rng.choice((0, 0, 0, 9))] + prose(rng.choice((0, 0, 4))))
+    passage, few = prose(20), words[:4]
+    texts += [passage + prose(rng.randint(0, 30)) for _ in range(30)] + [[rng.choice(few) for _ in range(rng.randint(1, 40))] for _ in range(30)]
+    return [(i, " ".join(w)) for i, w in enumerate(texts)]
+
+
+@pytest.mark.parametrize("k,num,crowd", [(3, 90, 16), (5, 80, 2)])
+def test_jaccard_of_crowded_shingles(spark, monkeypatch, k, num, crowd):
+    """Groups that share shingles without being similar throughout: every link is found by the differences from the hub."""
+    monkeypatch.setattr(jaccard, "CROWD", crowd)
+    table = crowd_table()
+    df = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+    assert rows_of(jaccard.jaccard_groups(df, k, num, 100), "doc_id", "n_shingles", "component_id") == brute_groups(table, k, num, 100)
+
+
+def test_jaccard_crowd_makes_no_pair_of_each_two_members(spark, monkeypatch):
+    """120 copies of a text with 4 edits of their own each: none is similar to another, and nearly none is compared with another."""
+    rng, words = random.Random(14), _vocabulary(15, 3000)
+    base, compared, pairs = [rng.choice(words) for _ in range(150)], jaccard.compared, []
+    texts = [" ".join(f"own{i}x{j}" if j in own else w for j, w in enumerate(base)) for i, own in enumerate(rng.sample(range(150), 4) for _ in range(120))]
+    monkeypatch.setattr(jaccard, "compared", lambda found, *rest: pairs.append(found.count()) or compared(found, *rest))
+    table = list(enumerate([" ".join(base), *texts]))
+    df = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+    assert rows_of(jaccard.jaccard_groups(df, 3, 90, 100), "doc_id", "n_shingles", "component_id") == brute_groups(table, 3, 90, 100)
+    assert pairs[1] < 200
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(30)] + [(100, 101), (101, 100), (7, 7), (205, 200), (203, 200)]
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
