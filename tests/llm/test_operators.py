@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -397,6 +398,30 @@ def test_two_stage_sort_orders_suffixes():
             assert got == sorted(range(len(raw)), key=lambda i: raw[i:])
 
 
+def test_suffix_sort_holds_few_keys(monkeypatch):
+    """Many suffixes of one first byte: same order and windows, with the bytes of few of them held as keys; the sums of a shard are not held at once."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(2000)]
+    contents = [" ".join(rng.choice(words) for _ in range(150)).encode() for _ in range(1200)]
+    contents += [b"ab" * 700, b"ab" * 600 + b"c", contents[0][50:700] + b"!"]
+    want = collections.Counter(c[i : i + 400] for c in contents for i in range(len(c) - 399))
+    begins = np.cumsum([0, *(len(c) + 1 for c in contents)])
+    arrays._powers.cache_clear()
+    tracemalloc.start()
+    try:
+        found = suffixes.recurring_starts(contents, 400).tolist()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == [int(b) + i for b, c in zip(begins, contents) for i in range(len(c) - 399) if want[c[i : i + 400]] > 1]
+    assert peak < 60 * begins[-1]
+    monkeypatch.setattr(suffixes, "KEYS", 2)
+    for letters in (b"a", b"ab", b"abc"):
+        for _ in range(30):
+            raw = bytes(rng.choice(letters) for _ in range(rng.randrange(0, 60))) + b"\0"
+            assert suffixes.two_stage_sort(np.frombuffer(raw, np.uint8), 100).tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
+
+
 def test_substring_operators_on_empty(empty):
     assert phrases.phrase_dedup(empty).count() == 0 and suffixes.suffix_dedup(empty).count() == 0
 
