@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 import tracemalloc
 import zlib
 
@@ -322,6 +323,16 @@ def test_jaccard_crowd_makes_no_pair_of_each_two_members(spark, monkeypatch):
     assert pairs[1] < 200
 
 
+def test_jaccard_prefixes_are_shuffled_once(spark):
+    """Rows, counts and hubs of the shingles read one exchange by shingle; copies of a node from several tasks count once."""
+    rows = [(t, node, 10, place, need) for t, node, place, need in ((1, 5, 3, 2), (1, 5, 2, 2), (1, 4, 6, 1), (2, 5, 0, 2), (2, 5, 0, 2), (3, 7, 1, 1))] + [(9, i, 20 + i, i, 1) for i in range(17)]
+    shared = jaccard.shared_prefixes(spark.createDataFrame(rows, "token long, node long, n int, place int, need int").repartition(4, "place"))
+    found = {tuple(r[:5]) + (tuple(r["hub"]), r["crowd"]) for r in shared.select("token", "node", "n", "place", "need", "hub", "crowd").collect()}
+    assert found == {(1, 5, 10, 2, 2, (10, 4, 6, 1), False), (1, 4, 10, 6, 1, (10, 4, 6, 1), False)} | {(9, i, 20 + i, i, 1, (20, 0, 0, 1), True) for i in range(17)}
+    plan = jaccard.shared_prefixes(spark.range(9).selectExpr("id AS token", "id AS node", "1 AS n", "1 AS place", "1 AS need"))._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bExchange ", plan)) == 1
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(30)] + [(100, 101), (101, 100), (7, 7), (205, 200), (203, 200)]
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
